@@ -1,0 +1,52 @@
+"""Tables shared between driver and executors, and small helpers used by every operator here."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+
+    Only where it is unset (tests on one machine) a temporary folder is made and remembered."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = f"file://{tempfile.mkdtemp(prefix='sonarloom-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared folder; nothing is created."""
+    app = spark.sparkContext.applicationId
+    return f"{root(spark)}/sonarloom-{app}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back, which cuts its lineage:
+    an executor lost later costs a re-read, not a re-computation."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application (call it when its results are stored)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/sonarloom-{spark.sparkContext.applicationId}")
+    path.getFileSystem(conf).delete(path, True)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits in a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
