@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from sonarloom.llm import best_fit_packing, quality_rules, token_counts
+from sonarloom.llm import best_fit_packing, line_dedup, pseudonyms, quality_rules, sentence_spans, token_counts, warc_zip
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_best_fit_packing": best_fit_packing.op2_best_fit_packing,
+    "op3_pseudonyms": pseudonyms.op3_pseudonyms,
+    "op4_warc": warc_zip.op4_warc,
+    "op6_sentence_spans": sentence_spans.op6_sentence_spans,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 
 SQL = {
+    "op7_line_dedup": line_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
