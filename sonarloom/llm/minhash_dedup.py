@@ -81,7 +81,7 @@ class Shingles:
         self.hash = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 200_000)
 
     def sets(self, texts: pa.Array):
-        texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+        texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         values = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
