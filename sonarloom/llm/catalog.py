@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sonarloom.llm import best_fit_packing, hnsw, line_dedup, minhash_dedup, pseudonyms, quality_rules, sentence_spans, token_counts, warc_zip
+from sonarloom.llm import best_fit_packing, hnsw, line_dedup, minhash_dedup, piece_transducer, pseudonyms, quality_rules, sentence_spans, token_counts, warc_zip
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_sentence_spans": sentence_spans.op6_sentence_spans,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op10_hnsw": hnsw.op10_hnsw,
+    "op8_piece_transducer": piece_transducer.op8_piece_transducer,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 
