@@ -193,7 +193,7 @@ def _matrix(column) -> np.ndarray:
 def build(rows: DataFrame, shards: int, k: int) -> DataFrame:
     """shard and its index, packed."""
 
-    def index(key, table: pa.Table) -> pa.Table:
+    def index(key, table):  # without annotations: Spark reads them, and these are texts here
         ids, x = table.column("id").to_numpy(), _matrix(table.column("v"))
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], np.ascontiguousarray(x[order])
