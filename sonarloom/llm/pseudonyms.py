@@ -33,8 +33,8 @@ NUMBERS = r"""(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(
 |(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))
 |(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}(?P<sep>[./-])[0-9]{1,2}(?P=sep)[0-9]{4})(?![0-9-]|[./][0-9]))
 |(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))
-|(?P<card>(?<![0-9+])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))
-|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9]))"""
+|(?P<card>(?<![0-9+])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]))
+|(?P<phone>(?<![\w+])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9]))"""
 BOTH = re.compile(f"{EMAIL}\n|{NUMBERS}", re.VERBOSE)
 ONLY_NUMBERS = re.compile(NUMBERS, re.VERBOSE)
 DIGIT = re.compile("[0-9]")
@@ -185,7 +185,7 @@ class Pseudonyms:
 
     def text(self, text: str, counts: dict[str, int]) -> str:
         def new(m: re.Match) -> str:
-            kind = m.lastgroup if m.lastgroup != "sep" else "date"
+            kind = next(k for k in KINDS if m.groupdict().get(k) is not None)
             to = self.known[kind, m[0]]
             if to is None:
                 return m[0]
