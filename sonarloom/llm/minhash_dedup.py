@@ -168,7 +168,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     classes = workspace.materialize(real.groupBy("key").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("rows")), "classes")
     # Buckets of two documents or more.
     members = classes.select(F.explode("bands").alias("band"), "rep")
-    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
+    # Written out, so that the join's sides are exchanges of its own, which can be split where a bucket is hot.
+    shared = workspace.materialize(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band"), "shared")
     members = workspace.materialize(members.join(shared, "band"), "buckets")
     active = members.select("rep").distinct()
     sets = workspace.materialize(shingle_sets(slim.join(active, F.col("doc") == F.col("rep"), "left_semi"), words), "sets")
@@ -201,6 +202,7 @@ def _components_by_centres(members: DataFrame, sets: DataFrame, percent: int):
             named = members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
             pick = F.xxhash64(F.lit(turn), "band", "rep")
         centres = named.groupBy("band").agg(F.min(F.struct(pick.alias("p"), "rep", "own")).alias("c"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi")
+        centres = workspace.materialize(centres, "centres")
         pairs = named.join(centres.select("band", F.col("c.rep").alias("centre"), F.col("c.own").alias("other")), "band").where("own <> other")
         pairs = pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
         new = workspace.materialize(links(pairs, sets, percent), "links")
@@ -213,6 +215,12 @@ def _components_by_centres(members: DataFrame, sets: DataFrame, percent: int):
         quiet = 0
         if labels is None:
             labels = components(new)
+            # Most buckets are one component now; later rounds read only what the others need.
+            named = members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
+            unsettled = named.groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
+            members = workspace.materialize(members.join(unsettled, "band"), "buckets")
+            needed = members.select(F.col("rep").alias("doc")).distinct()
+            sets = workspace.materialize(sets.join(needed, "doc", "left_semi"), "sets")
             continue
         # Contracted to roots, only what is new is left to be joined.
         x, y = (labels.select(F.col("node").alias(f"{k}n"), F.col("root").alias(f"{k}r")) for k in "xy")
