@@ -35,6 +35,8 @@ BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
 #: Rounds that join nothing before the search ends.
 QUIET = 2
+#: 64-bit words of the filter of documents whose sets are needed.
+FILTER_WORDS = 1 << 19
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -122,16 +124,39 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, n bigint, key binary, bands array<bigint>")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc and its sorted shingle hashes, packed."""
+def bitmap(ids: DataFrame):
+    """A Bloom filter of ids, of fixed size whatever their number: two bits an id among 2 ** 25. It is made by
+    aggregation; what comes to the driver and goes out again is the filter. With too many ids it lets all pass."""
+    h = F.xxhash64("rep")
+    bits = ids.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h"))
+    word = F.pmod("h", F.lit(FILTER_WORDS)).cast("int").alias("word")
+    made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % FILTER_WORDS)).alias("bits")).toPandas()
+    out = np.zeros(FILTER_WORDS, np.int64)
+    out[made["word"].to_numpy(np.int64)] = made["bits"].to_numpy(np.int64)
+    return ids.sparkSession.sparkContext.broadcast(out.view(np.uint64))
+
+
+def passes(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether ids with these hashes may be in a filter."""
+    out = np.ones(len(h), bool)
+    for x in (h, (h.view(np.uint64) >> np.uint64(32)).view(np.int64)):
+        # The same as pmod and div: the remainder is never negative, the quotient is cut towards zero.
+        word, quotient = x % FILTER_WORDS, np.where(x < 0, -(-x // FILTER_WORDS), x // FILTER_WORDS)
+        out &= (words[word] >> (quotient % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+    return out
+
+
+def shingle_sets(docs: DataFrame, words: int, among) -> DataFrame:
+    """doc and its sorted shingle hashes, packed, of the documents that pass the filter. No text is shuffled."""
 
     def run(batches):
         shingles = Shingles(words)
-        for whole in batches:
+        for every in batches:
+            whole = every.filter(pa.array(passes(among.value, every.column(2).to_numpy())))
             for b in slices(whole, 1):
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h in shingles.sets(b.column(1))], pa.binary())], names=["doc", "hashes"])
 
-    return docs.mapInArrow(run, "doc bigint, hashes binary")
+    return docs.where("doc is not null").withColumn("h", F.xxhash64("doc")).mapInArrow(run, "doc bigint, hashes binary")
 
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -172,7 +197,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     shared = workspace.materialize(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band"), "shared")
     members = workspace.materialize(members.join(shared, "band"), "buckets")
     active = members.select("rep").distinct()
-    sets = workspace.materialize(shingle_sets(slim.join(active, F.col("doc") == F.col("rep"), "left_semi"), words), "sets")
+    sets = workspace.materialize(shingle_sets(slim, words, bitmap(active)), "sets")
 
     found, quiet, turn = _components_by_centres(members, sets, percent)
     # Classes are components of their own; a repeated id may stand in several.
