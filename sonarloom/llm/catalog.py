@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_warc": warc_zip.ORACLE,
+    "op5_minhash_dedup": minhash_dedup.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }

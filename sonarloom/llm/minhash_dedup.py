@@ -267,3 +267,17 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(workspace.table(spark, sf_dir, "documents"), words=2)
+
+
+#: All pairs that share a shingle, counted; ids are taken to be unique and not null.
+ORACLE = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+sized AS (SELECT doc_id, s, n FROM sh JOIN n USING (doc_id)),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM sized a JOIN sized b ON a.s = b.s AND a.doc_id < b.doc_id
+           AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)),
+e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(x, y) AS (SELECT a, a FROM e UNION SELECT r.x, e.b FROM reach r JOIN e ON e.a = r.y),
+root AS (SELECT x, min(y) AS root FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, w.doc_id) AS component_id, coalesce(root, w.doc_id) = w.doc_id AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN root ON root.x = w.doc_id"""

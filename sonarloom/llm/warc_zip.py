@@ -243,3 +243,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace.new_folder(spark, "warc")
     archives = write_archives(workspace.table(spark, sf_dir, "pages"), folder)
     return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base 32 of the digest: groups of five bits from blocks of five hexadecimal digits.
+_BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '')"
+ORACLE = f"""WITH d AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS s, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to FROM d"""
