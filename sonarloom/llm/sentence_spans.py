@@ -94,6 +94,8 @@ def remove_repeats(docs: DataFrame, min_words: int = 25, text: str = "text", doc
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(last)).alias("doc"), key, F.col(text).cast("string").alias("text"))
     table = workspace.materialize(span_table(slim, min_words), "spans")
     repeated = table.groupBy("h").agg(F.count("*").alias("times"), F.min(F.struct("doc", "row", "first")).alias("at")).where("times > 1").select("h", "at")
+    # Written out, both sides of the join below come from exchanges of its own, which can be split where a span is hot.
+    repeated = workspace.materialize(repeated, "repeated")
     again = table.join(repeated, "h").where(F.struct("doc", "row", "first") != F.col("at"))
     gone = again.groupBy(F.col("row").alias("key")).agg(F.collect_set(F.struct("first", "n")).alias("gone"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), key).join(gone, F.col("row") == F.col("key"), "left")
