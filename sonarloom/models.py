@@ -113,7 +113,7 @@ def apply(clips: DataFrame, make: Callable[[], object], call: Callable[[object,
                 try:
                     found.append(call(model, row) | {"error": None})
                 except Exception as e:
-                    found.append({"error": str(e)[:300]})
+                    found.append({"error": str(e)[:300] or type(e).__name__})
             yield pdf.assign(**{n: [f.get(n) for f in found] for n in [*names, "error"]})
 
     return clips.drop("error").mapInPandas(run, f"{kinds}, {schema}, error string")
