@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     found, quiet, turn = _components_by_centres(members, sets, percent)
     # Classes are components of their own; a repeated id may stand in several.
     joined = classes.join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("root"))
-    every = made.join(joined, "key", "left").withColumn("own", F.when(F.col("n") > 0, F.coalesce("root", "doc")).otherwise(F.col("doc")))
+    every = made.join(joined, "key", "left").withColumn("own", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("root", "doc")).otherwise(F.col("doc")))
     repeated = every.groupBy("doc").agg(F.min("own").alias("own_min"), F.max("own").alias("own_max")).where("own_min <> own_max and doc is not null")
     if not repeated.isEmpty():
         # An id with different texts ties their components together.
