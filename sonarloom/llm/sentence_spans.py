@@ -1,14 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into units: sentences (up to ``.``, ``!``, ``?`` with white space after it, or a newline), of which
-longer ones are cut every ``MAX_UNIT`` words. From every unit, the shortest run of several consecutive units with
-``min_words`` words or more is hashed, and likewise the shortest run up to every unit; so a passage of
-``min_words + 2 * MAX_UNIT`` words that documents share is covered whole by common runs, wherever it stands.
+those of ``MAX_UNIT`` words or more are cut before the word with the least hash of every ``MAX_UNIT`` consecutive ones,
+the last of equal ones. So a cut depends on the words around it alone, not on where the sentence starts, and no unit
+has more than ``MAX_UNIT`` words. From every unit, the shortest run of several consecutive units with ``min_words``
+words or more is hashed, and likewise the shortest run up to every unit. A passage of ``min_words + 2 * MAX_UNIT``
+words that documents share has common units wherever it stands, and common runs cover them: all of the passage but
+less than ``MAX_UNIT`` words at its start and ``MAX_UNIT`` at most at its end where these lie inside a sentence, as
+words before or after them share their unit. A passage of whole sentences is covered whole.
 Hashes are joined globally: the first occurrence (smallest document, then position) of a span stays, and the units
 that any other occurrence covers are removed. White space between words doesn't count; letters do.
 
-Counting is a partial aggregate, so that a passage in a third of all documents is no hot spot; the join back is
-one that adaptive execution can split. Hashes have 64 bits.
+Counting is a partial aggregate, so that a passage in a third of all documents is no hot spot; the joins back are
+ones that adaptive execution can split. A filter of fixed size keeps most spans that occur once out of the first of
+them; with too many repeats it lets all pass, and the join alone decides. Hashes have 64 bits.
 
 Defined results: a null text stays null, one without words is unchanged; rows that repeat an id with another text
 are told apart by a hash of the text, equal rows share their fate; a null id comes after all others; overlapping
@@ -18,33 +23,50 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonarloom import workspace
+from sonarloom.llm.memo import Memo
+from sonarloom.llm.minhash_dedup import bitmap, passes
 from sonarloom.llm.token_counts import slices
 
 MAX_UNIT = 12
 #: A sentence with the white space after it.
 SENTENCE = re.compile(r"[^\n]*?[.!?]+(?:[ \t]+|\n+|$)|[^\n]*\n+|[^\n]+$")
 WORD = re.compile(r"\S+\s*")
+_HASHES = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 200_000)
+
+
+def cuts(words: list[str]) -> list[int]:
+    """Places of the least hash of every ``MAX_UNIT`` consecutive words, the last of equal ones."""
+    h = [_HASHES[w] for w in words]
+    out, least = [], -1
+    for end in range(MAX_UNIT - 1, len(h)):
+        if least <= end - MAX_UNIT:
+            least = min(range(end, end - MAX_UNIT, -1), key=h.__getitem__)
+            out.append(least)
+        elif h[end] <= h[least]:
+            least = end
+            out.append(least)
+    return out
 
 
 def units(text: str) -> list[str]:
     """The units of a text; joined they are the text."""
     out = []
     for s in SENTENCE.findall(text):
-        if s.count(" ") < MAX_UNIT:
+        bare = s.split()
+        if len(bare) < MAX_UNIT:
             out.append(s)
             continue
+        at = [k for k in cuts(bare) if k]
         words = WORD.findall(s)
-        if not words:
-            out.append(s)
-            continue
         words[0] = s[: len(s) - sum(map(len, words))] + words[0]
-        out += ["".join(words[k : k + MAX_UNIT]) for k in range(0, len(words), MAX_UNIT)]
+        out += ["".join(words[a:z]) for a, z in zip([0, *at], [*at, len(words)])]
     return out
 
 
@@ -86,6 +108,16 @@ def span_table(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, "h bigint, doc bigint, row bigint, first int, n int")
 
 
+def among(spans_: DataFrame, words) -> DataFrame:
+    """The spans whose hash passes the filter."""
+
+    def run(batches):
+        for b in batches:
+            yield b.select(["h", "doc", "row", "first", "n"]).filter(pa.array(passes(words.value, b.column(5).to_numpy().astype(np.int64))))
+
+    return spans_.withColumn("x", F.xxhash64("h")).mapInArrow(run, spans_.schema)
+
+
 def remove_repeats(docs: DataFrame, min_words: int = 25, text: str = "text", doc_id: str = "doc_id", counts: bool = False) -> DataFrame:
     """``docs`` without the units that a non-first repeated span covers; with ``counts``, n_units and n_removed are added."""
     workspace.small_batches(docs.sparkSession)
@@ -93,10 +125,11 @@ def remove_repeats(docs: DataFrame, min_words: int = 25, text: str = "text", doc
     key = F.xxhash64(F.col(doc_id), F.col(text)).alias("row")
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(last)).alias("doc"), key, F.col(text).cast("string").alias("text"))
     table = workspace.materialize(span_table(slim, min_words), "spans")
-    repeated = table.groupBy("h").agg(F.count("*").alias("times"), F.min(F.struct("doc", "row", "first")).alias("at")).where("times > 1").select("h", "at")
-    # Written out, both sides of the join below come from exchanges of its own, which can be split where a span is hot.
-    repeated = workspace.materialize(repeated, "repeated")
-    again = table.join(repeated, "h").where(F.struct("doc", "row", "first") != F.col("at"))
+    # Written out, both sides of each join below come from exchanges of its own, which can be split where a span is hot.
+    repeated = workspace.materialize(table.groupBy("h").count().where("count > 1").select("h"), "repeated")
+    hits = workspace.materialize(among(table, bitmap(repeated.withColumnRenamed("h", "rep"))).join(repeated, "h"), "hits")
+    firsts = workspace.materialize(hits.groupBy("h").agg(F.min(F.struct("doc", "row", "first")).alias("at")), "firsts")
+    again = hits.join(firsts, "h").where(F.struct("doc", "row", "first") != F.col("at"))
     gone = again.groupBy(F.col("row").alias("key")).agg(F.collect_set(F.struct("first", "n")).alias("gone"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), key).join(gone, F.col("row") == F.col("key"), "left")
     place = docs.columns.index(text)

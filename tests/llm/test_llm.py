@@ -302,6 +302,25 @@ def test_sentence_spans(spark, sf):
     assert sentence_spans.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_sentence_spans_inside_a_sentence(spark):
+    """A passage without full stops is found wherever it stands in a sentence; only units of its edges stay."""
+    r = random.Random(8)
+    say = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+    for _ in range(3):
+        passage = say(51)
+        rows = [(k, " ".join([*say(k), *passage, *say(r.randint(1, 12))]) + ".", "s") for k in range(13)]
+        out = {x["doc_id"]: x["text"].split() for x in sentence_spans.remove_repeats(docs(spark, rows)).collect()}
+        assert out[0] == rows[0][1].split()
+        for k, t, _ in rows[1:]:
+            assert [w for w in out[k] if w not in passage] == [w for w in t.split() if w not in passage]
+            left = [w for w in passage if w in out[k]]
+            # 11 words at the start and 12 at the end at most.
+            assert len(left) <= 23 and not set(passage[11:39]) & set(left)
+    for white in ("  ", "\t"):
+        one, two = sentence_spans.units(" ".join(passage)), sentence_spans.units(white.join(passage))
+        assert [p.split() for p in one] == [p.split() for p in two] and max(len(p.split()) for p in one) <= 12
+
+
 def test_line_dedup_edges(spark):
     rows = [(k, f"own {k}\nshared\n\nshared", f"s{k % 12}") for k in range(12)] + [(20, None, None), (21, "shared", None), (None, "shared\nx", "s1"), (22, "only\nhere", "s1"), (0, "shared\nagain", "s3")]
     out = line_dedup.dedup_lines(docs(spark, rows), min_sites=12, counts=True)
