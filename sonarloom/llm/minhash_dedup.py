@@ -8,8 +8,11 @@ pair at similarity 0.8 with a chance of 3e-6, and more similar ones with less.
 Documents with equal shingle sets form one class and go on as its smallest id. In each band, a bucket's documents are
 compared with one of them, its centre: a bucket of n documents makes n - 1 pairs, never all. Pairs are verified on the
 full sets by exact counts. Buckets whose documents aren't yet in one component get another centre, picked by a hash
-of band, document and round, and are compared again with the documents of other components, until two rounds have
-joined nothing more. All links between documents of one component are implied by it.
+of band, document and round, and are compared again with the documents of other components, until a round has joined
+nothing more. This only leaves less to do: in the buckets that still hold several components, every pair of documents
+of different ones whose sizes allow a link is verified then. So no pair that shares a bucket is left out: its
+documents are in one component, which implies their link, or it was verified. The pairs of this last step grow with
+the square of the number of unlinked documents in a bucket.
 
 Nothing is gathered: centres are partial aggregates, joins are ones that adaptive execution can split.
 
@@ -33,8 +36,6 @@ from sonarloom.operators.components import components
 
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
-#: Rounds that join nothing before the search ends.
-QUIET = 2
 #: 64-bit words of the filter of documents whose sets are needed.
 FILTER_WORDS = 1 << 19
 
@@ -199,7 +200,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     active = members.select("rep").distinct()
     sets = workspace.materialize(shingle_sets(slim, words, bitmap(active)), "sets")
 
-    found, quiet, turn = _components_by_centres(members, sets, percent)
+    found = _components(members, sets, percent)
     # Classes are components of their own; a repeated id may stand in several.
     joined = classes.join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("root"))
     every = made.join(joined, "key", "left").withColumn("own", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("root", "doc")).otherwise(F.col("doc")))
@@ -214,49 +215,64 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     )
 
 
-def _components_by_centres(members: DataFrame, sets: DataFrame, percent: int):
-    """node and root of the documents that links join, searching buckets with a new centre each round."""
-    spark = members.sparkSession
-    labels = None
-    quiet = turn = 0
-    while quiet < QUIET:
-        if labels is None:
-            named = members.withColumn("own", F.col("rep"))
-            pick = F.col("rep")
-        else:
-            named = members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
-            pick = F.xxhash64(F.lit(turn), "band", "rep")
+def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """band, rep and own, the component of rep."""
+    if labels is None:
+        return members.withColumn("own", F.col("rep"))
+    return members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
+
+
+def _merged(labels: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Labels after the links ``new``."""
+    if labels is None:
+        return components(new)
+    # Contracted to roots, only what is new is left to be joined.
+    x, y = (labels.select(F.col("node").alias(f"{k}n"), F.col("root").alias(f"{k}r")) for k in "xy")
+    roots = new.join(x, F.col("a") == F.col("xn"), "left").join(y, F.col("b") == F.col("yn"), "left").select(F.coalesce("xr", "a").alias("a"), F.coalesce("yr", "b").alias("b"))
+    up = components(roots).select(F.col("node").alias("un"), F.col("root").alias("ur"))
+    moved = labels.join(up, F.col("root") == F.col("un"), "left").select("node", F.coalesce("ur", "root").alias("root"))
+    fresh = up.join(labels, F.col("un") == F.col("node"), "left_anti").select(F.col("un").alias("node"), F.col("ur").alias("root"))
+    return workspace.materialize(moved.union(fresh), "labels")
+
+
+def _unsettled(members: DataFrame, sets: DataFrame, labels: DataFrame | None):
+    """The members of buckets that hold several components, and the sets of these."""
+    several = _named(members, labels).groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
+    members = workspace.materialize(members.join(several, "band"), "buckets")
+    needed = members.select(F.col("rep").alias("doc")).distinct()
+    return members, workspace.materialize(sets.join(needed, "doc", "left_semi"), "sets")
+
+
+def _components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node and root of the documents that links join: buckets with a new centre each round, then all pairs that are left."""
+    labels, turn = None, 0
+    while True:
+        named = _named(members, labels)
+        pick = F.xxhash64(F.lit(turn), "band", "rep") if turn else F.col("rep")
         centres = named.groupBy("band").agg(F.min(F.struct(pick.alias("p"), "rep", "own")).alias("c"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi")
         centres = workspace.materialize(centres, "centres")
         pairs = named.join(centres.select("band", F.col("c.rep").alias("centre"), F.col("c.own").alias("other")), "band").where("own <> other")
         pairs = pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
         new = workspace.materialize(links(pairs, sets, percent), "links")
-        turn += 1
         if new.isEmpty():
-            quiet += 1
-            if labels is None:
-                break
-            continue
-        quiet = 0
-        if labels is None:
-            labels = components(new)
+            break
+        labels = _merged(labels, new)
+        if not turn:
             # Most buckets are one component now; later rounds read only what the others need.
-            named = members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
-            unsettled = named.groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
-            members = workspace.materialize(members.join(unsettled, "band"), "buckets")
-            needed = members.select(F.col("rep").alias("doc")).distinct()
-            sets = workspace.materialize(sets.join(needed, "doc", "left_semi"), "sets")
-            continue
-        # Contracted to roots, only what is new is left to be joined.
-        x, y = (labels.select(F.col("node").alias(f"{k}n"), F.col("root").alias(f"{k}r")) for k in "xy")
-        roots = new.join(x, F.col("a") == F.col("xn"), "left").join(y, F.col("b") == F.col("yn"), "left").select(F.coalesce("xr", "a").alias("a"), F.coalesce("yr", "b").alias("b"))
-        up = components(roots).select(F.col("node").alias("un"), F.col("root").alias("ur"))
-        moved = labels.join(up, F.col("root") == F.col("un"), "left").select("node", F.coalesce("ur", "root").alias("root"))
-        fresh = up.join(labels, F.col("un") == F.col("node"), "left_anti").select(F.col("un").alias("node"), F.col("ur").alias("root"))
-        labels = workspace.materialize(moved.union(fresh), "labels")
+            members, sets = _unsettled(members, sets, labels)
+        turn += 1
+    members, sets = _unsettled(members, sets, labels)
+    sizes = sets.select("doc", (F.length("hashes") / 8).cast("long").alias("n")).distinct()
+    rest = workspace.materialize(_named(members, labels).join(sizes, F.col("rep") == F.col("doc")).select("band", "rep", "own", "n"), "rest")
+    other = rest.select("band", *[F.col(c).alias(f"{c}_b") for c in ("rep", "own", "n")])
+    may = (F.col("rep") < F.col("rep_b")) & (F.col("own") != F.col("own_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+    pairs = rest.join(other, "band").where(may).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+    new = workspace.materialize(links(pairs, sets, percent), "links")
+    if not new.isEmpty():
+        labels = _merged(labels, new)
     if labels is None:
-        labels = spark.createDataFrame([], "node bigint, root bigint")
-    return labels, quiet, turn
+        labels = members.sparkSession.createDataFrame([], "node bigint, root bigint")
+    return labels
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

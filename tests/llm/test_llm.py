@@ -262,6 +262,17 @@ def test_minhash(spark, sf):
     assert minhash_dedup.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_links_in_a_bucket_that_no_centre_joins(spark):
+    """Every document falls into one bucket; most have no link, so that centres find none."""
+    r = random.Random(4)
+    rows = [(i, " ".join(str(r.randint(0, 10**9)) for _ in range(40)), "s") for i in range(60)]
+    rows += [(100 + i, f"{t} more", "s") for i, t, _ in rows[20:23]]
+    members = spark.createDataFrame([(7, i) for i, _, _ in rows], "band bigint, rep bigint")
+    sets = spark.createDataFrame([(i, h.tobytes()) for (i, _, _), h in zip(rows, minhash_dedup.Shingles(2).sets(pa.array([t for _, t, _ in rows])))], "doc bigint, hashes binary")
+    got = {x["node"]: x["root"] for x in minhash_dedup._components(members, sets, 80).collect()}
+    assert got == {20: 20, 120: 20, 21: 21, 121: 21, 22: 22, 122: 22}
+
+
 def test_permutations_are_permutations():
     x = np.arange(1 << 16, dtype=np.uint32)
     assert len(np.unique(minhash_dedup._scatter(x))) == len(np.unique(minhash_dedup._rank(x.copy()))) == 1 << 16
