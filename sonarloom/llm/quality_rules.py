@@ -122,10 +122,15 @@ def quality(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
 
 
 def filtered(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns; judged row by row, so repeated ids are no matter."""
+    """The rows of ``docs`` that the rules keep, with their own columns; judged row by row, so repeated ids are no matter.
+
+    The optimizer would push a filter below the projections of the measures and put their expressions into each other,
+    which builds the arrays anew for every element; so the verdict goes through a generator of one row, which no filter
+    on its output passes."""
     names = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text"))
-    return quality(row, keep=["row"], rules=rules).where("kept").select(*[F.col("row")[c].alias(c) for c in names])
+    judged = quality(row, keep=["row"], rules=rules).select("row", F.explode(F.array("kept")).alias("verdict"))
+    return judged.where("verdict").select(*[F.col("row")[c].alias(c) for c in names])
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
