@@ -5,20 +5,26 @@ permutations of 0 .. 2 ** 32 - 1 make every coordinate of the signature: the fir
 gives ranks, and coordinate k is the least rank after a circular shift by k. 160 coordinates in 32 bands of 5 miss a
 pair at similarity 0.8 with a chance of 3e-6, and more similar ones with less.
 
-Documents with equal shingle sets form one class and go on as its smallest id. In each band, a bucket's documents are
-compared with one of them, its centre: a bucket of n documents makes n - 1 pairs, never all. Pairs are verified on the
-full sets by exact counts. Buckets whose documents aren't yet in one component get another centre, picked by a hash
-of band, document and round, and are compared again with the documents of other components, until a round has joined
-nothing more. This only leaves less to do: in the buckets that still hold several components, every pair of documents
-of different ones whose sizes allow a link is verified then. So no pair that shares a bucket is left out: its
-documents are in one component, which implies their link, or it was verified. The pairs of this last step grow with
-the square of the number of unlinked documents in a bucket.
-
-Nothing is gathered: centres are partial aggregates, joins are ones that adaptive execution can split.
+Documents with equal shingle sets form one class and go on as its smallest id. Documents that share a bucket of a band
+are candidates. A pair whose ends are in one component already implies nothing new, so what has to be verified are the
+pairs of different components, and they are worked off in two steps, both on full sets and by exact counts:
+
+* Rounds that contract. Each bucket has a centre, and each document is compared with one centre of its buckets that is
+  in another component: at most one pair a document and round. Links join components, buckets of one component are
+  done. Rounds go on while at least one pair in ``WORTH`` links, so groups of near copies shrink geometrically.
+* All that is left, by a prefix join: the documents of unsettled buckets are joined on their rarest shingles. Of a pair
+  that links, the shorter set has one of its first n - ceil(2 p n / (100 + p)) + 1 shingles among the prefix that the
+  longer one has for sets of that size class, and no pair whose places leave too little overlap passes. So the join
+  finds every pair of documents of different components that links; documents that merely share a template meet only
+  where their rarest shingles do. On a shingle that one component dominates, its documents meet only those of others.
+
+So no pair that shares a bucket is left out, and nothing is capped. Nothing is gathered: centres are partial
+aggregates, joins are ones that adaptive execution can split.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; a null id
 takes no part in links and is kept; rows that repeat an id are one document, to which all links of its texts
-count; exact copies have one component; other columns pass through untouched."""
+count; exact copies have one component; an empty table gives an empty result; other columns pass through untouched,
+whatever their names."""
 
 from __future__ import annotations
 
@@ -36,8 +42,12 @@ from sonarloom.operators.components import components
 
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
-#: 64-bit words of the filter of documents whose sets are needed.
-FILTER_WORDS = 1 << 19
+#: Least and most 64-bit words of a filter of ids; beyond eight ids a word the filter isn't used.
+FILTER_WORDS = 1 << 14, 1 << 22
+#: A contracting round is worth repeating while one pair in so many links.
+WORTH = 20
+#: Sizes of sets within this factor are one class of the prefix join.
+CLASS = 1.05
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -125,49 +135,58 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, n bigint, key binary, bands array<bigint>")
 
 
-def bitmap(ids: DataFrame):
-    """A Bloom filter of ids, of fixed size whatever their number: two bits an id among 2 ** 25. It is made by
-    aggregation; what comes to the driver and goes out again is the filter. With too many ids it lets all pass."""
+def bitmap(ids: DataFrame, count: int):
+    """A Bloom filter of the ``count`` ids in column ``rep``, two bits an id; None where they are too many for a filter
+    of bounded size (32 MB). It is made by aggregation; what comes to the driver and goes out again is the filter."""
+    least, most = FILTER_WORDS
+    size = max(least, 1 << max(count // 8, 1).bit_length())
+    if size > most:
+        return None
     h = F.xxhash64("rep")
     bits = ids.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h"))
-    word = F.pmod("h", F.lit(FILTER_WORDS)).cast("int").alias("word")
-    made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % FILTER_WORDS)).alias("bits")).toPandas()
-    out = np.zeros(FILTER_WORDS, np.int64)
+    word = F.pmod("h", F.lit(size)).cast("int").alias("word")
+    made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % size)).alias("bits")).toPandas()
+    out = np.zeros(size, np.int64)
     out[made["word"].to_numpy(np.int64)] = made["bits"].to_numpy(np.int64)
     return ids.sparkSession.sparkContext.broadcast(out.view(np.uint64))
 
 
 def passes(words: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Whether ids with these hashes may be in a filter."""
-    out = np.ones(len(h), bool)
+    out, size = np.ones(len(h), bool), len(words)
     for x in (h, (h.view(np.uint64) >> np.uint64(32)).view(np.int64)):
         # The same as pmod and div: the remainder is never negative, the quotient is cut towards zero.
-        word, quotient = x % FILTER_WORDS, np.where(x < 0, -(-x // FILTER_WORDS), x // FILTER_WORDS)
+        word, quotient = x % size, np.where(x < 0, -(-x // size), x // size)
         out &= (words[word] >> (quotient % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
     return out
 
 
-def shingle_sets(docs: DataFrame, words: int, among) -> DataFrame:
-    """doc and its sorted shingle hashes, packed, of the documents that pass the filter. No text is shuffled."""
+def shingle_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
+    """doc and its sorted shingle hashes, packed, of the documents in ``wanted`` (rep) and few more. Texts are only
+    shuffled where the ids are too many for a filter."""
+    among = bitmap(wanted, wanted.count())
 
     def run(batches):
         shingles = Shingles(words)
         for every in batches:
-            whole = every.filter(pa.array(passes(among.value, every.column(2).to_numpy())))
+            whole = every.filter(pa.array(passes(among.value, every.column(2).to_numpy()))) if among else every
             for b in slices(whole, 1):
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h in shingles.sets(b.column(1))], pa.binary())], names=["doc", "hashes"])
 
-    return docs.where("doc is not null").withColumn("h", F.xxhash64("doc")).mapInArrow(run, "doc bigint, hashes binary")
+    rows = docs.where("doc is not null")
+    if among is None:
+        rows = rows.join(wanted, F.col("doc") == F.col("rep"), "left_semi")
+    return rows.withColumn("h", F.xxhash64("doc")).mapInArrow(run, "doc bigint, hashes binary")
 
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sets have 100 * intersection >= percent * union."""
+    """The pairs a, b (of components own_a, own_b) whose sets have 100 * intersection >= percent * union."""
 
     def verify(batches):
         for batch in batches:
-            for b in slices(batch, 3):
+            for b in slices(batch, 5):
                 good = []
-                for x, y in zip(b.column(2), b.column(3)):
+                for x, y in zip(b.column(4), b.column(5)):
                     x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                     if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                         good.append(False)
@@ -176,12 +195,12 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     common = int((both[1:] == both[:-1]).sum())
                     good.append(100 * common >= percent * (len(x) + len(y) - common))
                 keep = pa.array(good, pa.bool_())
-                yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[:4]], names=["a", "b", "own_a", "own_b"])
 
     left, right = (sets.select(F.col("doc").alias(f"{k}d"), F.col("hashes").alias(f"{k}h")) for k in "ab")
     # The many different documents first; a centre's set meets them in a join that can be split.
     wide = pairs.join(right, F.col("b") == F.col("bd")).join(left, F.col("a") == F.col("ad"))
-    return wide.select("a", "b", "ah", "bh").mapInArrow(verify, "a bigint, b bigint")
+    return wide.select("a", "b", "own_a", "own_b", "ah", "bh").mapInArrow(verify, "a bigint, b bigint, own_a bigint, own_b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -197,8 +216,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     # Written out, so that the join's sides are exchanges of its own, which can be split where a bucket is hot.
     shared = workspace.materialize(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band"), "shared")
     members = workspace.materialize(members.join(shared, "band"), "buckets")
-    active = members.select("rep").distinct()
-    sets = workspace.materialize(shingle_sets(slim, words, bitmap(active)), "sets")
+    sets = workspace.materialize(shingle_sets(slim, words, members.select("rep").distinct()), "sets")
 
     found = _components(members, sets, percent)
     # Classes are components of their own; a repeated id may stand in several.
@@ -215,64 +233,94 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     )
 
 
-def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """band, rep and own, the component of rep."""
-    if labels is None:
-        return members.withColumn("own", F.col("rep"))
-    return members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "rep").alias("own"))
-
+def _unsettled(named: DataFrame) -> DataFrame:
+    """band, rep and own of the buckets that hold several components."""
+    several = named.groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
+    return workspace.materialize(named.join(several, "band"), "buckets")
 
-def _merged(labels: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Labels after the links ``new``."""
-    if labels is None:
-        return components(new)
-    # Contracted to roots, only what is new is left to be joined.
-    x, y = (labels.select(F.col("node").alias(f"{k}n"), F.col("root").alias(f"{k}r")) for k in "xy")
-    roots = new.join(x, F.col("a") == F.col("xn"), "left").join(y, F.col("b") == F.col("yn"), "left").select(F.coalesce("xr", "a").alias("a"), F.coalesce("yr", "b").alias("b"))
-    up = components(roots).select(F.col("node").alias("un"), F.col("root").alias("ur"))
-    moved = labels.join(up, F.col("root") == F.col("un"), "left").select("node", F.coalesce("ur", "root").alias("root"))
-    fresh = up.join(labels, F.col("un") == F.col("node"), "left_anti").select(F.col("un").alias("node"), F.col("ur").alias("root"))
-    return workspace.materialize(moved.union(fresh), "labels")
 
+def _centre_pairs(named: DataFrame, turn: int) -> DataFrame:
+    """a, b, own_a, own_b: each document with one centre of its buckets that is in another component.
 
-def _unsettled(members: DataFrame, sets: DataFrame, labels: DataFrame | None):
-    """The members of buckets that hold several components, and the sets of these."""
-    several = _named(members, labels).groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
-    members = workspace.materialize(members.join(several, "band"), "buckets")
-    needed = members.select(F.col("rep").alias("doc")).distinct()
-    return members, workspace.materialize(sets.join(needed, "doc", "left_semi"), "sets")
+    In the first round centres are the smallest ids, which different bands agree on; later they are picked by a hash."""
+    pick = F.xxhash64(F.lit(turn), "band", "rep") if turn else F.col("rep")
+    centres = named.groupBy("band").agg(F.min(F.struct(pick.alias("p"), "rep", "own")).alias("c"))
+    met = named.join(centres, "band").where(F.col("own") != F.col("c.own"))
+    which = F.xxhash64(F.lit(turn), "c.rep", "rep") if turn else F.col("c.rep")
+    one = met.groupBy("rep").agg(F.min(F.struct(which.alias("p"), F.col("c.rep").alias("a"), F.col("c.own").alias("own_a"), "own")).alias("m"))
+    return one.select("m.a", F.col("rep").alias("b"), "m.own_a", F.col("m.own").alias("own_b"))
 
 
 def _components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """node and root of the documents that links join: buckets with a new centre each round, then all pairs that are left."""
-    labels, turn = None, 0
+    """node and root of the documents that links join; ``members`` are band and rep of all buckets."""
+    named, every, turn = members.withColumn("own", F.col("rep")), [], 0
     while True:
-        named = _named(members, labels)
-        pick = F.xxhash64(F.lit(turn), "band", "rep") if turn else F.col("rep")
-        centres = named.groupBy("band").agg(F.min(F.struct(pick.alias("p"), "rep", "own")).alias("c"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi")
-        centres = workspace.materialize(centres, "centres")
-        pairs = named.join(centres.select("band", F.col("c.rep").alias("centre"), F.col("c.own").alias("other")), "band").where("own <> other")
-        pairs = pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+        pairs = workspace.materialize(_centre_pairs(named, turn), "pairs")
         new = workspace.materialize(links(pairs, sets, percent), "links")
-        if new.isEmpty():
-            break
-        labels = _merged(labels, new)
+        tried, linked = pairs.count(), new.count()
+        if linked:
+            every.append(new)
+            up = components(new, "own_a", "own_b")
+            named = named.join(up, F.col("own") == F.col("node"), "left").select("band", "rep", F.coalesce("root", "own").alias("own"))
+        named = _unsettled(named)
         if not turn:
-            # Most buckets are one component now; later rounds read only what the others need.
-            members, sets = _unsettled(members, sets, labels)
+            # Most buckets are one component now; what follows reads only the sets that the others need.
+            sets = workspace.materialize(sets.join(named.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi"), "sets")
         turn += 1
-    members, sets = _unsettled(members, sets, labels)
-    sizes = sets.select("doc", (F.length("hashes") / 8).cast("long").alias("n")).distinct()
-    rest = workspace.materialize(_named(members, labels).join(sizes, F.col("rep") == F.col("doc")).select("band", "rep", "own", "n"), "rest")
-    other = rest.select("band", *[F.col(c).alias(f"{c}_b") for c in ("rep", "own", "n")])
-    may = (F.col("rep") < F.col("rep_b")) & (F.col("own") != F.col("own_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
-    pairs = rest.join(other, "band").where(may).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
-    new = workspace.materialize(links(pairs, sets, percent), "links")
-    if not new.isEmpty():
-        labels = _merged(labels, new)
-    if labels is None:
-        labels = members.sparkSession.createDataFrame([], "node bigint, root bigint")
-    return labels
+        if WORTH * linked < tried or not linked:
+            break
+    rest = workspace.materialize(prefix_pairs(named.select("rep", "own").distinct(), sets, percent), "pairs")
+    every.append(workspace.materialize(links(rest, sets, percent), "links"))
+    out = every[0]
+    for more in every[1:]:
+        out = out.union(more)
+    return components(out)
+
+
+def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, own_a, own_b: the pairs of documents (rep, own) of different components that can link, and few more."""
+
+    def unpack(batches):
+        for b in batches:
+            for part in slices(b, 2, 1 << 20):
+                packed = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(2)]
+                n = np.array([len(x) for x in packed], np.int64)
+                cols = [np.repeat(part.column(k).to_numpy(), n) for k in range(2)]
+                # Rows that repeat an id with another text are sets of their own.
+                row = np.repeat(np.array([xxhash.xxh3_64_intdigest(x.as_buffer()) for x in part.column(2)], np.uint64).view(np.int64), n)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, row, np.repeat(n, n), np.concatenate([np.zeros(0, np.int64), *packed]))], names=["doc", "own", "row", "n", "h"])
+
+    held = docs.join(sets, F.col("rep") == F.col("doc")).select("doc", "own", "hashes").distinct()
+    tokens = workspace.materialize(held.mapInArrow(unpack, "doc bigint, own bigint, row bigint, n bigint, h bigint"), "tokens")
+    spread = workspace.materialize(tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "spread")
+    # Rarest first; shingles of one set only come before all others and join nothing, so their number is enough.
+    shared = tokens.join(spread, "h").groupBy("doc", "own", "row", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("t"))
+    n, need = F.col("n"), lambda x: F.ceil(F.lit(percent) * x / F.lit(100 + percent)).cast("long")
+    size = lambda x: F.floor(F.log(x.cast("double")) / float(np.log(CLASS))).cast("long")
+    least = F.ceil(F.lit(percent) * n / 100).cast("long")
+    alone = n - F.size("t")
+    placed = shared.select("doc", "own", "n", least.alias("least"), F.slice("t", F.lit(1), F.greatest(n - least + 1 - alone, F.lit(0)).cast("int")).alias("t"), alone.alias("alone"))
+    placed = placed.select("doc", "own", "n", "least", "alone", F.posexplode("t").alias("i", "t")).select("doc", "own", "n", "least", (F.col("alone") + F.col("i")).alias("p"), F.col("t.h").alias("h"))
+    placed = workspace.materialize(placed, "prefixes")
+    # As the shorter one of a pair, in the class of its size; as the longer one, in every class that a partner can have.
+    index = placed.where(F.col("p") < n - need(2 * n) + 1).select("h", size(n).alias("c"), F.lit(0).alias("long"), "doc", "own", "n", "p")
+    probe = placed.withColumn("c", F.explode(F.sequence(size(F.col("least")), size(n))))
+    low = F.greatest(F.col("least"), F.floor(F.pow(F.lit(CLASS), F.col("c"))).cast("long") - 1)
+    probe = probe.where(F.col("p") < n - need(n + low) + 1).select("h", "c", F.lit(1).alias("long"), "doc", "own", "n", "p")
+    both = workspace.materialize(index.union(probe), "prefixes")
+    counts = both.groupBy("h", "c", "own").agg(F.count("*").alias("rows"))
+    main = counts.groupBy("h", "c").agg(F.max_by("own", F.struct("rows", "own")).alias("main"), F.count("*").alias("owns")).where("owns > 1").drop("owns")
+    both = workspace.materialize(both.join(main, ["h", "c"]), "prefixes")
+    found = None
+    for mine, other in (("own <> main", "true"), ("own = main", "own <> main")):
+        short = both.where("long = 0").where(mine).select("h", "c", F.col("doc").alias("a"), F.col("own").alias("own_a"), F.col("n").alias("n_a"), F.col("p").alias("p_a"))
+        long_ = both.where("long = 1").where(other).select("h", "c", F.col("doc").alias("b"), F.col("own").alias("own_b"), F.col("n").alias("n_b"), F.col("p").alias("p_b"))
+        first = (F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))
+        fits = first & (F.col("own_a") != F.col("own_b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        fits = fits & (F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= need(F.col("n_a") + F.col("n_b")))
+        pairs = short.join(long_, ["h", "c"]).where(fits).select("a", "b", "own_a", "own_b")
+        found = pairs if found is None else found.union(pairs)
+    return found.distinct()
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

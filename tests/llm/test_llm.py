@@ -273,6 +273,31 @@ def test_links_in_a_bucket_that_no_centre_joins(spark):
     assert got == {20: 20, 120: 20, 21: 21, 121: 21, 22: 22, 122: 22}
 
 
+def test_prefix_pairs_lose_no_link(spark):
+    """Copies with edits of one template and chains of small edits: all linked pairs are candidates, and few others are."""
+    r = random.Random(11)
+    template, rows = [f"t{k}" for k in range(120)], []
+    for i in range(150):
+        words = template[: r.randint(90, 120)]
+        for _ in range(r.choice([1, 4, 14, 30])):
+            words[r.randrange(len(words))] = f"x{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    base = [f"c{k}" for k in range(80)]
+    for i in range(150, 260):
+        base[r.randrange(80)] = f"n{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(base)))
+    sets = list(minhash_dedup.Shingles(2).sets(pa.array([t for _, t in rows])))
+    near = lambda i, j: 100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - c)
+    want = {(i, j) for j in range(len(rows)) for i in range(j) if near(i, j) and i % 7 != j % 7}
+    table = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sets)], "doc bigint, hashes binary")
+    docs_ = spark.createDataFrame([(i, i % 7) for i, _ in rows], "rep bigint, own bigint")
+    found = minhash_dedup.prefix_pairs(docs_, table, 80)
+    got = {tuple(sorted((x["a"], x["b"]))) for x in found.collect()}
+    assert want <= got and len(want) > 500 and len(got) < 0.4 * len(rows) ** 2 / 2
+    linked = {tuple(sorted((x["a"], x["b"]))) for x in minhash_dedup.links(found, table, 80).collect()}
+    assert linked == want
+
+
 def test_permutations_are_permutations():
     x = np.arange(1 << 16, dtype=np.uint32)
     assert len(np.unique(minhash_dedup._scatter(x))) == len(np.unique(minhash_dedup._rank(x.copy()))) == 1 << 16
