@@ -1,5 +1,8 @@
+import math
 import os
 import sys
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 
@@ -49,13 +52,22 @@ def duck():
 def same():
     """Whether a Spark result and a DuckDB relation hold the same rows, whatever their order."""
 
-    def rows(df):
-        df = df[sorted(df.columns)]
-        return sorted(tuple("null" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False))
+    def plain(v):
+        if v is None or isinstance(v, float) and math.isnan(v):
+            return "null"
+        if isinstance(v, (float, Decimal)):
+            return f"{float(v):.6g}"
+        if isinstance(v, datetime):
+            return str(v.replace(tzinfo=None))
+        return f"[{', '.join(map(plain, v))}]" if isinstance(v, list) else str(v)
+
+    def rows(table):
+        return sorted(tuple(map(plain, r)) for r in zip(*(table.column(c).to_pylist() for c in sorted(table.column_names))))
 
     def check(df, rel):
-        a, b = df.toPandas(), rel.df()
-        assert sorted(a.columns) == sorted(b.columns)
+        # By Arrow, so that whole numbers stay whole beside nulls.
+        a, b = df.toArrow(), rel.to_arrow_table()
+        assert sorted(a.column_names) == sorted(b.column_names)
         assert rows(a) == rows(b)
 
     return check
