@@ -31,26 +31,30 @@ STOP_WORDS = {
 @dataclass(frozen=True)
 class Rule:
     """A text passes while ``low <= 1000 * numerator / denominator <= high`` (in whole numbers: no rounding;
-    a zero denominator passes). None: no bound on that side. Length rules have the denominator ``one``."""
+    a zero denominator passes). None: no bound on that side. Length rules have the denominator ``one``. A text
+    whose denominator is below ``least`` passes: on so few words or lines the share says nothing."""
 
     name: str
     numerator: str
     denominator: str
     low: int | None = None
     high: int | None = None
+    least: int = 0
 
 
 #: The production table; limits in thousandths.
 RULES = [
     Rule("word_length", "word_chars", "n_words", 2_000, 15_000),
     Rule("symbol_ratio", "n_symbols", "n_words", None, 100),
-    Rule("stop_word_ratio", "n_stop_words", "n_words", 20, None),
+    Rule("stop_word_ratio", "n_stop_words", "n_words", 20, None, least=50),
     Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 500),
 ]
 
 BLANK = r"[ \t-\r]"
 BLANKS = " \t\n\x0b\f\r"
 NO_SYMBOLS = "[^#*$%&|<>]+"
+#: Punctuation that may stand at the ends of a stop word; letters that are lowered there.
+MARKS, CAPITALS = ".,;:!?\"()[]{}*#«»„“”‘…–—-", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def words_of(text: Column) -> Column:
@@ -74,7 +78,7 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
         F.length(F.regexp_replace("t", NO_SYMBOLS, "")).cast("long").alias("n_symbols"),
         F.size("ln").cast("long").alias("n_lines"),
         (F.size("ln") - F.size(F.array_distinct("ln"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("w", lambda x: x.isin(stops))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("w", lambda x: F.btrim(F.translate(x, CAPITALS, CAPITALS.lower()), F.lit(MARKS)).isin(stops))).cast("long").alias("n_stop_words"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
     )
     grams = F.when(
@@ -108,10 +112,10 @@ def compiled(rules: list[Rule]) -> Column:
     verdict = F.lit(True)
     for r in rules:
         top, under = 1000 * F.col(r.numerator), F.lit(1) if r.denominator == "one" else F.col(r.denominator)
-        if r.low is not None:
-            verdict = verdict & (top >= r.low * under)
-        if r.high is not None:
-            verdict = verdict & (top <= r.high * under)
+        limits = [top >= r.low * under] if r.low is not None else []
+        limits += [top <= r.high * under] if r.high is not None else []
+        for limit in limits:
+            verdict = verdict & (limit | (under < r.least) if r.least else limit)
     return verdict
 
 
@@ -142,10 +146,11 @@ def _limits(rules: list[Rule]) -> str:
     out = ["true"]
     for r in rules:
         under = "1" if r.denominator == "one" else r.denominator
+        few = f" OR {under} < {r.least}" if r.least else ""
         if r.low is not None:
-            out.append(f"1000 * {r.numerator} >= {r.low} * {under}")
+            out.append(f"(1000 * {r.numerator} >= {r.low} * {under}{few})")
         if r.high is not None:
-            out.append(f"1000 * {r.numerator} <= {r.high} * {under}")
+            out.append(f"(1000 * {r.numerator} <= {r.high} * {under}{few})")
     return " AND ".join(out)
 
 
@@ -163,7 +168,7 @@ def measures_sql(table: str) -> str:
       SELECT split_.*, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ln)::BIGINT AS n_lines,
              (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines,
-             len(list_filter(w, lambda x: list_contains([{stops}], x)))::BIGINT AS n_stop_words,
+             len(list_filter(w, lambda x: list_contains([{stops}], trim(translate(x, '{CAPITALS}', '{CAPITALS.lower()}'), '{MARKS}'))))::BIGINT AS n_stop_words,
              coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM split_ LEFT JOIN covered USING (r)),
     judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {_limits(RULES)} AS passed FROM measured)"""
