@@ -135,14 +135,15 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, n bigint, key binary, bands array<bigint>")
 
 
-def bitmap(ids: DataFrame, count: int):
-    """A Bloom filter of the ``count`` ids in column ``rep``, two bits an id; None where they are too many for a filter
-    of bounded size (32 MB). It is made by aggregation; what comes to the driver and goes out again is the filter."""
+def bitmap(ids: DataFrame, count: int, plain: bool = False):
+    """A Bloom filter of the ``count`` ids in column ``rep`` (hashes already, if ``plain``), two bits an id; None where they
+    are too many for a filter of bounded size (32 MB). It is made by aggregation; what comes to the driver and goes out
+    again is the filter."""
     least, most = FILTER_WORDS
     size = max(least, 1 << max(count // 8, 1).bit_length())
     if size > most:
         return None
-    h = F.xxhash64("rep")
+    h = F.col("rep") if plain else F.xxhash64("rep")
     bits = ids.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h"))
     word = F.pmod("h", F.lit(size)).cast("int").alias("word")
     made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % size)).alias("bits")).toPandas()
