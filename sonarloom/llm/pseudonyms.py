@@ -4,8 +4,10 @@ Values that pass their validation (card numbers by issuer and check digit, IBANs
 numbers by their ranges, IPv4 addresses, phone numbers by length, e-mail addresses, calendar dates) are permuted
 by a keyed Feistel network over exactly the values of their format. The network is a bijection of 0..n-1; values
 that fall outside the valid ones are permuted again until one is valid (cycle walking), which keeps it a bijection.
-So equal values stay equal in all documents, whatever separators they are written with, and different ones differ.
-Numbers that fail validation are left alone.
+So equal values stay equal in all documents, whatever separators they are written with, and different ones differ; a
+phone number is the same with and without its country code's separator, and a North American one without a code too.
+Numbers that fail validation are left alone. Kept are a phone number's country code, an IBAN's country and length, a
+card's issuer and length, and an e-mail address's host, which names no person.
 
 Defined results: a null text stays null, an empty one empty; texts of any length are searched whole, in linear
 time; a text in which two formats overlap takes the one that starts first, then the order of ``KINDS``; repeated
@@ -42,6 +44,8 @@ NOT_DIGIT = re.compile("[^0-9]")
 #: Dates that are permuted among themselves.
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# Country calling codes of two digits; those that begin with 1 or 7 have one, all others three.
+TWO_DIGITS = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 
 
 class Feistel:
@@ -160,13 +164,20 @@ class Pseudonyms:
         return ".".join(map(str, x.to_bytes(4)))
 
     def phone(self, found: str) -> str | None:
-        head = re.match(r"\+[0-9]{1,3}(?=[ .(-])", found)
-        cut = head.end() if head else found.startswith("+")
-        digits = NOT_DIGIT.sub("", found[cut:])
-        if not 7 <= len(digits) <= 15:
+        """The country code stays; the national number is permuted within its length and country, however it is written.
+        A number without a code is one of the North American plan; a trunk zero in brackets is no part of the number."""
+        shape = found.replace("(0)", "(\0)")
+        digits = NOT_DIGIT.sub("", shape)
+        code = "" if found[0] != "+" else digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGITS else digits[:3]
+        own = digits[len(code) :]
+        if not 7 <= len(digits) <= 15 or len(own) < 4:
             return None
-        x = self.net.permute(int(digits), 10 ** len(digits), f"phone{len(digits)}")
-        return found[:cut] + _fill(found[cut:], f"{x:0{len(digits)}}")
+        n = len(own)
+        # Area and exchange codes of the North American plan begin with 2 to 9; numbers that break this stay among themselves.
+        plan = lambda x: n == 10 and (code or "1") == "1" and f"{x:010}"[0] > "1" and f"{x:010}"[3] > "1"
+        kind = plan(int(own))
+        x = self.net.permute(int(own), 10**n, f"phone{code or 1}|{n}", lambda x: plan(x) == kind)
+        return _fill(shape, f"{code}{x:0{n}}").replace("\0", "0")
 
     def date(self, found: str) -> str | None:
         parts = re.split("[./-]", found)
