@@ -1,9 +1,11 @@
 """WARC archives packed in ZIP files: written by executors, read back by ranges without extraction.
 
-Each ZIP file holds, as *stored* (uncompressed) members, a WARC file whose records are gzip members of their own
-and an index of their places, so that any record is a range of the ZIP file. The reader parses the end record, the
-ZIP64 end record and the central directory, finds the archive members and their index, groups neighbouring records
-into ranges, deals the ranges out to all tasks, and reads each range alone.
+Each ZIP file holds, as *stored* (uncompressed) members, WARC files below ``archive/`` whose records are gzip members of
+their own (or plain) and indexes of their places below ``indexes/``, lines of key, time and JSON with filename, offset
+and length (CDXJ, also as gzip), so that any record is a range of the ZIP file. The reader parses the end record, the
+ZIP64 end record and the central directory, finds all archive members and their entries in any index, groups
+neighbouring records into ranges, deals the ranges out to all tasks, and reads each range alone. An archive member
+without entries is an error, as are compressed archive members; nothing is left out silently.
 
 Files go to the shared folder; each attempt of a task writes under names of its own, and only what a finished
 task reports is read, so lost executors leave nothing but files that no one lists.
@@ -22,6 +24,8 @@ import base64
 import datetime as dt
 import gzip
 import hashlib
+import json
+import re
 import struct
 import uuid
 import zipfile
@@ -38,7 +42,7 @@ from sonarloom import workspace
 #: Bytes of compressed records in one archive, and of one range that is read at once; a larger record stands alone.
 ARCHIVE_BYTES, RANGE_BYTES = 64 << 20, 4 << 20
 DATE = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.txt"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 URN = "urn:sonarloom:page:"
 
 
@@ -63,18 +67,26 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, of: i
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 1, mtime=0)
 
 
-def write_zip(sink, data: list[bytes], zip64: bool = False) -> int:
-    """Write one archive of records with its index; the bytes of records. ``zip64`` forces the large form."""
+def sort_key(url: str) -> str:
+    """The host's names in reverse, then the path: the key that index lines are sorted by."""
+    host, _, path = re.sub("^[a-z]+://", "", url.lower()).partition("/")
+    return f"{','.join(reversed(host.split('.')))})/{path}".replace(" ", "%20")
+
+
+def write_zip(sink, data: list[bytes], zip64: bool = False, about: list[dict[str, str]] | None = None) -> int:
+    """Write one archive of records with its index; the bytes of records. ``about`` has the url and digest of each;
+    ``zip64`` forces the large form."""
     with zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
         with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=zip64) as f:
             for r in data:
                 f.write(r)
         at, lines = 0, []
-        for r in data:
-            lines.append(f"{at} {len(r)}\n")
+        for r, told in zip(data, about or [{}] * len(data)):
+            entry = {**told, "filename": DATA.rpartition("/")[2], "offset": str(at), "length": str(len(r))}
+            lines.append(f"{sort_key(told.get('url', ''))} {DATE:%Y%m%d%H%M%S} {json.dumps(entry)}\n")
             at += len(r)
         with z.open(zipfile.ZipInfo(INDEX), "w", force_zip64=zip64) as f:
-            f.write("".join(lines).encode())
+            f.write("".join(sorted(lines)).encode())
     return at
 
 
@@ -131,33 +143,59 @@ def place(source, member: tuple[int, int, int]) -> tuple[int, int]:
     return local + 30 + n + extra, size
 
 
+def entries(source, members: dict[str, tuple[int, int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """Archive member -> (offset, length) of its records in order, from all indexes."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for name, member in members.items():
+        if not (name.startswith("indexes/") and name.removesuffix(".gz").endswith((".cdx", ".cdxj"))):
+            continue
+        at, n = place(source, member)
+        data = source.read_at(n, at)
+        for line in (gzip.decompress(data) if name.endswith(".gz") else data).decode().splitlines():
+            if "{" in line and not line.startswith("!"):
+                entry = json.loads(line[line.index("{") :])
+                out.setdefault("archive/" + entry["filename"].removeprefix("archive/"), []).append((int(entry["offset"]), int(entry["length"])))
+    return {name: sorted(set(places)) for name, places in out.items()}
+
+
 def ranges(source, size: int, most: int = RANGE_BYTES) -> Iterator[tuple[int, int]]:
-    """(offset, bytes) in the file of runs of whole records, from each archive member's index."""
+    """(offset, bytes) in the file of runs of whole records, from the index entries of every archive member."""
     members = directory(source, size)
-    start, _ = place(source, members[DATA])
-    at, n = place(source, members[INDEX])
-    first = last = 0
-    for line in source.read_at(n, at).decode().splitlines():
-        a, length = map(int, line.split())
-        if last > first and a + length - first > most:
+    known = entries(source, members)
+    for name in members:
+        if not (name.startswith("archive/") and name.endswith((".warc.gz", ".warc"))):
+            continue
+        start, n = place(source, members[name])
+        if n and name not in known:
+            raise ValueError(f"no index has entries for {name}")
+        first = last = 0
+        for a, length in known.get(name, ()):
+            if last > first and (a != last or a + length - first > most):
+                yield start + first, last - first
+                first = a
+            elif last == first:
+                first = a
+            last = a + length
+        if last > first:
             yield start + first, last - first
-            first = a
-        last = a + length
-    if last > first:
-        yield start + first, last - first
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and payload of each gzip member in a range."""
+    """Headers and payload of each record in a range: gzip members, or plain ones."""
     while data:
-        z = zlib.decompressobj(wbits=31)
-        raw = z.decompress(data) + z.flush()
-        data = z.unused_data
+        if data[:2] == b"\x1f\x8b":
+            z = zlib.decompressobj(wbits=31)
+            raw = z.decompress(data) + z.flush()
+            data, plain = z.unused_data, False
+        else:
+            raw, plain = data, True
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         block = rest[: int(fields["Content-Length"])]
+        if plain:
+            data = rest[len(block) + 4 :]
         http, _, payload = block.partition(b"\r\n\r\n")
-        fields["http-length"] = next(x[16:] for x in http.decode().split("\r\n") if x.startswith("Content-Length: "))
+        fields["http-length"] = next((x[16:] for x in http.decode().split("\r\n") if x.lower().startswith("content-length: ")), str(len(payload)))
         yield fields, payload
 
 
@@ -178,22 +216,24 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, page_id: s
 
     def run(batches):
         store, top = fs.FileSystem.from_uri(folder)
-        kept, size = [], 0
+        kept, told, size = [], [], 0
 
         def flush():
             path = f"{top}/{uuid.uuid4().hex}.zip"
             store.create_dir(top, recursive=True)
             with store.open_output_stream(path) as sink:
-                write_zip(sink, kept)
+                write_zip(sink, kept, about=told)
             return pa.RecordBatch.from_pydict({"path": [path], "bytes": pa.array([store.get_file_info(path).size], pa.int64())})
 
         for b in batches:
             for page, u, data, sha, of, again in zip(*(c.to_pylist() for c in b.columns)):
-                r = record(page, u, data, base64.b32encode(bytes.fromhex(sha)).decode(), of, again)
+                digest = base64.b32encode(bytes.fromhex(sha)).decode()
+                r = record(page, u, data, digest, of, again)
                 if kept and size + len(r) > archive_bytes:
                     yield flush()
-                    kept, size = [], 0
+                    kept, told, size = [], [], 0
                 kept.append(r)
+                told.append({"url": u or "", "digest": f"sha1:{digest}"})
                 size += len(r)
         if kept:
             yield flush()
