@@ -12,7 +12,8 @@ scored exactly in double precision on the original vectors. The final ranking is
 
 Defined results: vectors that are null, zero, of another length than the commonest, or hold null, NaN or infinite
 parts take no part, nor do rows with a null id; ties go to the smaller id; rows that repeat an id are separate
-candidates, but none is a neighbour of its own id; an empty table gives an empty result; other columns are ignored."""
+candidates, but none is a neighbour of its own id; rows that repeat an id are one query if their vectors are equal, else
+queries with an answer each, told apart by ``query_hash``; an empty table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from sonarloom import workspace
 
 #: Rows of a shard, neighbours of a node (twice as many in the lowest layer), beams when building and searching.
-SHARD_ROWS, M, EF_BUILD, EF_SEARCH = 8192, 16, 80, 160
-BLOCK, QUERY_BLOCK = 256, 4096
+SHARD_ROWS, M, EF_BUILD, EF_SEARCH = 32768, 16, 80, 160
+#: Rows inserted together; queries that visit a shard together, so that a graph is moved once for as many of them.
+BLOCK, QUERY_BLOCK = 256, 32768
 
 
 class Graph:
@@ -208,11 +210,12 @@ def build(rows: DataFrame, shards: int, k: int) -> DataFrame:
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "index": pa.array([f.getvalue()], pa.binary())})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInArrow(index, "shard int, index binary")
+    # By ranges, each shard is a task of its own; groups by hash would be joined into a few.
+    return dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInArrow(index, "shard int, index binary")
 
 
 def search_shard(packed: bytes, ids: np.ndarray, q: np.ndarray, k: int, ef: int):
-    """(query ids, vec ids, scores) of each query's best k in a shard, scored exactly."""
+    """(places in ``ids``, vec ids, scores) of each query's best k in a shard, scored exactly."""
     z = np.load(io.BytesIO(packed))
     vectors, graph = z["vectors"].astype(np.float64), Graph.load(z["graph"].tobytes())
     start = np.concatenate([[0], np.cumsum(np.bincount(z["node"], minlength=len(vectors)))])
@@ -234,37 +237,40 @@ def search_shard(packed: bytes, ids: np.ndarray, q: np.ndarray, k: int, ef: int)
         r, score, vec = r[order], score[order], vec[order]
         n = np.bincount(r, minlength=len(own))
         best = np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n) < k
-        out.append((own[r[best]], vec[best], score[best]))
+        out.append((a + r[best], vec[best], score[best]))
     return [np.concatenate(c) for c in zip(*out)]
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, vec: str = "embedding", vec_id: str = "vec_id", shard_rows: int = SHARD_ROWS, ef: int = EF_SEARCH) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: each query's ``k`` nearest rows of ``df`` found."""
     spark = df.sparkSession
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, query_hash bigint")
     rows = valid(df, vec, vec_id)
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
         return empty
     shards = -(-sizes["n"] // shard_rows)
     index = workspace.materialize(build(rows.where(F.size("v") == sizes["d"]), shards, k), "graphs")
-    asked = valid(queries, vec, vec_id).where(F.size("v") == sizes["d"])
+    asked = valid(queries, vec, vec_id).where(F.size("v") == sizes["d"]).withColumn("hash", F.xxhash64("v")).dropDuplicates(["id", "hash"])
     blocks = -(-max(asked.count(), 1) // QUERY_BLOCK)
     # Blocks of queries are bounded: ids are dealt by hash.
-    packed = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("q"))
-    pairs = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(index, "shard").select("index", "q")
+    packed = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v", "hash")).alias("q"))
+    visits = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).repartition(shards, "shard")
+    pairs = visits.join(index.repartition(shards, "shard"), "shard").select("index", "q")
 
     def run(batches):
         for b in batches:
             for j in range(len(b)):
                 q = b.column(1)[j].values
-                found = search_shard(b.column(0)[j].as_py(), q.field("id").to_numpy(), _matrix(q.field("v")), k, ef)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], names=["query_id", "vec_id", "score"])
+                ids = q.field("id").to_numpy()
+                at, found, score = search_shard(b.column(0)[j].as_py(), ids, _matrix(q.field("v")), k, ef)
+                columns = [pa.array(ids[at]), pa.array(q.field("hash").to_numpy()[at]), pa.array(found, pa.int64()), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "query_hash", "vec_id", "score"])
 
     workspace.small_batches(spark)
-    found = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    found = pairs.mapInArrow(run, "query_id bigint, query_hash bigint, vec_id bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id"))
+    return found.select("query_id", rank.alias("rank"), "vec_id", "score", "query_hash").where(F.col("rank") <= k)
 
 
 def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
