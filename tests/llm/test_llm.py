@@ -31,7 +31,7 @@ def docs(spark, rows):
     return spark.createDataFrame([(i, t, s, "x", "y") for i, t, s in rows], KIND)
 
 
-ODD = [(1, None, "s1"), (2, "", "s2"), (3, "  \n ", None), (4, "one", "s1"), (5, "one", "s1"), (5, "one", "s1"), (None, "one two", "s3"), (6, "word " * 3000, "s1")]
+ODD = [(1, None, "s1"), (2, "", "s2"), (3, "  \n ", None), (4, "one", "s1"), (5, "one", "s1"), (5, "one", "s1"), (None, "one two", "s3"), (6, "word " * 30000, "s1")]
 
 
 @pytest.fixture(scope="module")
@@ -150,7 +150,58 @@ def test_pseudonyms(spark):
     for keep in ("1219538112535716", "999.1.1.1", "000-12-3456", "31.02.1999", "version 1.2.3", "12345678901234567890123", "a@b", "+1", ""):
         assert p.text(keep, {}) == keep
     got = pseudonymise_rows(spark, [*ODD, (7, text, "s")])
-    assert got[7][0] == pseudonyms.Pseudonyms(pseudonyms.TEST_KEY).text(text, {}) and got[1] == [None] and got[6][0] == "word " * 3000
+    assert got[7][0] == pseudonyms.Pseudonyms(pseudonyms.TEST_KEY).text(text, {}) and got[1] == [None] and got[6][0] == "word " * 30000
+
+
+def test_one_phone_number_has_one_pseudonym():
+    p = pseudonyms.Pseudonyms(b"k")
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    for code, spellings in {
+        "1": ["+1 (974) 555-3436", "+19745553436", "+1-974-555-3436", "+1.974.555.3436", "+1 974 555 3436", "(974) 555-3436", "974-555-3436", "974.555.3436"],
+        "44": ["+44 20 7946 0958", "+442079460958", "+44 (20) 7946-0958", "+44 (0)20 7946 0958", "+44-20-7946-0958"],
+        "351": ["+351 21 123 4567", "+351211234567"],
+    }.items():
+        out = [p.text(x, {}) for x in spellings]
+        assert all(re.sub("[0-9]", "9", x) == re.sub("[0-9]", "9", y) and x != y for x, y in zip(spellings, out))
+        own = {digits(x.replace("(0)", ""))[len(code) if x[0] == "+" else 0 :] for x in out}
+        assert len(own) == 1 and all(x.startswith(f"+{code}") for x in out if x[0] == "+")
+    assert p.text("+1 (974) 555-3436", {}) != p.text("+44 974 555 3436", {})
+
+
+#: Plain patterns of the kinds that documents hold, each with the part that must change.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+(?=@[A-Za-z0-9.-]+\.[A-Za-z]{2,})",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9.])",
+    "phone": r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
+    "card": r"(?<![0-9+-])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9-])",
+}
+
+
+def test_pseudonyms_of_documents(spark, sf):
+    """The query against plain patterns: the rest of each text stays, values change within their format, equal ones to equal ones."""
+    old, kinds = real(spark, sf), Counter()
+    rows = catalog.QUERIES["op3_pseudonyms"](spark, sf).collect()
+    assert len(rows) == len(old)
+    seen: dict = {}
+    for r in rows:
+        was, now = old[r["doc_id"]], r["text"]
+        if not any(r[f"n_{k}"] for k in pseudonyms.KINDS):
+            assert now == was
+            continue
+        assert re.sub("[0-9]", "9", re.sub("[A-Za-z0-9._%+-]+@", "@", now)) == re.sub("[0-9]", "9", re.sub("[A-Za-z0-9._%+-]+@", "@", was)) or r["n_ip"] or r["n_date"] or r["n_iban"]
+        for kind, pattern in PLAIN.items():
+            a, b = ([m[0] for m in re.finditer(pattern, t)] for t in (was, now))
+            if kind == "card":
+                a, b = ([x for x in c if sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(re.sub("[^0-9]", "", x)[::-1])) % 10 == 0] for c in (a, b))
+            assert len(a) == len(b) or kind in ("ip", "card")
+            for x, y in zip(a, b) if len(a) == len(b) else ():
+                x, y = (z.lower() if kind == "email" else re.sub("[ -]", "", z) if kind == "card" else z for z in (x, y))
+                assert seen.setdefault((kind, x), y) == y
+                kinds[kind] += x != y
+    assert len({(k, y) for (k, _), y in seen.items()}) == len(seen)
+    assert kinds["email"] and kinds["phone"]
+    assert pseudonyms.pseudonymise(docs(spark, []), b"k").count() == 0
 
 
 def pseudonymise_rows(spark, rows):
@@ -180,6 +231,37 @@ def test_zip_ranges(large):
         warc_zip.directory(Bytes(b"no zip" * 50), 300)
 
 
+def test_zip_of_others():
+    """Several archive members, gzip and plain, other members beside them, and one index as gzip."""
+    import gzip
+    import json
+    import zipfile
+
+    rows = [warc_zip.record(k, f"http://x/{k}", b"p" * k, warc_zip.digest_of(b"p" * k), None, False) for k in range(12)]
+    files = {"a.warc.gz": rows[:5], "b.warc.gz": rows[5:9], "c.warc": [gzip.decompress(r) for r in rows[9:]]}
+    lines = []
+    for name, some in files.items():
+        at = 0
+        for r in some:
+            lines.append(f"key 2020 {json.dumps({'filename': name, 'offset': at, 'length': len(r)})}")
+            at += len(r)
+
+    def pack(index):
+        f = Bytes()
+        with zipfile.ZipFile(f, "w", zipfile.ZIP_STORED) as z:
+            z.writestr("datapackage.json", "{}")
+            for name, some in files.items():
+                z.writestr(f"archive/{name}", b"".join(some))
+            z.writestr("indexes/index.cdx.gz", gzip.compress("\n".join(["!meta {}", *index]).encode()))
+        return f, len(f.getvalue())
+
+    f, size = pack(lines[::-1])
+    got = [h["WARC-Target-URI"] for a, n in warc_zip.ranges(f, size, 700) for h, p in warc_zip.records(f.read_at(n, a)) if warc_zip.digest_of(p) == h["WARC-Payload-Digest"][5:]]
+    assert sorted(got) == sorted(f"http://x/{k}" for k in range(12))
+    with pytest.raises(ValueError):
+        list(warc_zip.ranges(*pack(lines[:9])))
+
+
 def test_zip64_end_record():
     """A directory whose end record says that its numbers stand in the ZIP64 one."""
     f = Bytes()
@@ -306,40 +388,55 @@ def test_permutations_are_permutations():
     assert abs((a == b).mean() - 0.8) < 0.13 and (a == minhash_dedup.signature(h[:4500][::-1].copy())).all()
 
 
-def plain_spans(rows, least=25):
-    """Repeats found by comparing the texts of spans."""
-    seen = defaultdict(list)
-    for i, t in rows:
-        parts = sentence_spans.units(t or "")
-        assert "".join(parts) == (t or "")
-        for a, z in sentence_spans.spans(parts, least):
-            assert z - a >= 2
-            seen[" ".join(" ".join(parts[a:z]).split())].append((i, a, z))
+def plain_parts(t):
+    """Sentences, and their parts by the least hash of every twelve words, by plain loops: lists of words."""
+    import xxhash
+
+    out, words = [], [(w, white) for w, white in re.findall(r"(\S+)(\s*)", t or "")]
+    while words:
+        n = next((k for k, (w, white) in enumerate(words, 1) if re.search("[.!?][\"')\\]}»”’]*$", w) or "\n" in white), len(words))
+        sentence, words = [w for w, _ in words[:n]], words[n:]
+        h = [xxhash.xxh3_64_intdigest(w) >> 1 for w in sentence]
+        cut = {0, n}
+        for k in range(n - 11):
+            cut.add(max(range(k, k + 12), key=lambda i: (-h[i], i)))
+        cut = sorted(cut)
+        out += [sentence[a:z] for a, z in zip(cut, cut[1:])]
+    return out
+
+
+def plain_spans(rows, run=3):
+    """Repeats found by comparing the words of runs: what is left of each document, and how many parts went."""
+    seen, parts = defaultdict(list), {i: plain_parts(t) for i, t in rows}
+    for i, some in sorted(parts.items()):
+        for a in range(len(some) - run + 1):
+            seen[" ".join(sum(some[a : a + run], []))].append((i, a))
     gone = defaultdict(set)
     for where in seen.values():
-        for i, a, z in sorted(where)[1:]:
-            gone[i].update(range(a, z))
-    return {i: "".join(p for k, p in enumerate(sentence_spans.units(t or "")) if k not in gone[i]) for i, t in rows}
+        for i, a in where[1:]:
+            gone[i].update(range(a, a + run))
+    return {i: (sum((p for k, p in enumerate(some) if k not in gone[i]), []), len(gone[i])) for i, some in parts.items()}
 
 
 def test_sentence_spans(spark, sf):
     rows = sorted(real(spark, sf).items())
     want = plain_spans(rows)
-    got = {r["doc_id"]: r["text"] for r in catalog.QUERIES["op6_sentence_spans"](spark, sf).collect()}
-    assert {i: t or "" for i, t in got.items()} == want
+    got = {r["doc_id"]: r for r in catalog.QUERIES["op6_sentence_spans"](spark, sf).collect()}
+    assert {i: ((r["text"] or "").split(), r["n_removed"]) for i, r in got.items()} == want and any(n for _, n in want.values())
+    assert all(r["n_units"] == len(plain_parts(t)) and (r["n_removed"] or r["text"] == t) for r, t in ((got[i], t) for i, t in rows))
     r = random.Random(5)
     say = lambda n: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(n))
-    for shape in ((51,), (10, 45), (20, 20, 15), (3,) * 20):
+    for shape in ((51,), (10, 45), (20, 20, 15), (3,) * 20, (6, 6, 6, 5)):
         passage = " ".join(f"{say(n)}." for n in shape)
-        a, b = f"{say(30)}. {passage} {say(7)}. {say(9)}", f"{say(4)}!\n{passage}\n{say(40)}."
-        out = {x["doc_id"]: x["text"] for x in sentence_spans.remove_repeats(docs(spark, [(1, a, "s"), (2, b, "s"), *[(i + 10 if i else i, t, s) for i, t, s in ODD[:7]]])).collect()}
-        assert out[1] == a and not set(passage.replace(".", "").split()) & set(out[2].replace(".", "").split())
+        a, b = f"{say(30)}. {passage} {say(7)}. {say(9)}", f" {say(4)}!\n{passage}\n{say(40)}."
+        out = {x["doc_id"]: x["text"] for x in sentence_spans.remove_repeats(docs(spark, [(1, a, "s"), (2, b, "s"), *[(i + 10 if i else i, t, s) for i, t, s in ODD]])).collect()}
+        assert out[1] == a and not set(passage.replace(".", "").split()) & set(out[2].replace(".", "").split()) and out[2][0] == " "
         assert set(b.split()) - set(passage.split()) <= set(out[2].split()) and out[11] is None and out[12] == "" and out[13] == "  \n "
     assert sentence_spans.remove_repeats(docs(spark, [])).count() == 0
 
 
 def test_sentence_spans_inside_a_sentence(spark):
-    """A passage without full stops is found wherever it stands in a sentence; only units of its edges stay."""
+    """A passage without full stops is found wherever it stands in a sentence; only parts of its edges stay."""
     r = random.Random(8)
     say = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
     for _ in range(3):
@@ -352,9 +449,14 @@ def test_sentence_spans_inside_a_sentence(spark):
             left = [w for w in passage if w in out[k]]
             # 11 words at the start and 12 at the end at most.
             assert len(left) <= 23 and not set(passage[11:39]) & set(left)
-    for white in ("  ", "\t"):
-        one, two = sentence_spans.units(" ".join(passage)), sentence_spans.units(white.join(passage))
-        assert [p.split() for p in one] == [p.split() for p in two] and max(len(p.split()) for p in one) <= 12
+
+
+def test_sentence_spans_long_runs():
+    """Time grows with the text: dots, spaces and one long word."""
+    parts = sentence_spans.Parts()
+    for t in ("." * 200_000 + " x", " " * 200_000 + "x", "a" * 1_000_000, "a " * 300_000):
+        parts.cut([t, None, "b c."])
+        assert parts.without(0, t, set()) == t and np.diff(parts.first)[1:].tolist() == [0, 1]
 
 
 def test_line_dedup_edges(spark):
@@ -380,6 +482,16 @@ def test_transducer(spark, sf, spm):
     assert piece_transducer.encode(docs(spark, []), SPM).count() == 0
 
 
+def test_transducer_long_units(spm):
+    t = piece_transducer.Transducer(SPM, 1000)
+    r = random.Random(3)
+    for x in ("".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/", k=1_000_000)), "a" + " " * 100_000 + "b", "." * 100_000):
+        ids = np.frombuffer(t.encode(x), "<u4").tolist()
+        assert t.decode(ids) == x and (len(x) > 200_000 or ids == spm.encode(x))
+    some = "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=3000))
+    assert np.frombuffer(t.encode(some), "<u4").tolist() == spm.encode(some)
+
+
 def test_transducer_unigram(tmp_path, spm):
     """The same pieces taken as a unigram model: the library's best path."""
     import sentencepiece
@@ -405,12 +517,12 @@ def hash_of(s):
 
 def test_quality_edges(spark):
     clean = "the cat and the dog of this house are in the garden with that man for an hour"
-    rows = [*ODD, (30, clean, "s"), (31, clean.replace(" ", "### "), "s"), (32, " ".join(f"zq{k}x" for k in range(20)), "s"), (33, "\n".join([clean] * 3), "s"), (34, "x " * 5, "s")]
+    rows = [*ODD, (30, clean, "s"), (31, clean.replace(" ", "### "), "s"), (32, " ".join(f"zq{k}x" for k in range(50)), "s"), (35, " ".join(f"zq{k}x" for k in range(49)), "s"), (36, " ".join(f"zq{k}x" for k in range(49)) + ' "The"', "s"), (33, "\n".join([clean] * 3), "s"), (34, "x " * 5, "s")]
     got = {r["doc_id"]: r for r in quality_rules.quality(docs(spark, rows)).collect()}
-    assert {i: got[i]["kept"] for i in (1, 2, 3, 4, 6, 30, 31, 32, 33)} == {1: False, 2: False, 3: False, 4: False, 6: False, 30: True, 31: False, 32: False, 33: False}
-    assert got[6]["n_repeat_words"] == 3000 and got[33]["n_dup_lines"] == 2 and got[34]["n_repeat_words"] == 0 and got[1]["n_words"] == 0
+    assert {i: got[i]["kept"] for i in (1, 2, 3, 4, 6, 30, 31, 32, 33, 35, 36)} == {1: False, 2: False, 3: False, 4: False, 6: False, 30: True, 31: False, 32: False, 33: False, 35: True, 36: True}
+    assert got[6]["n_repeat_words"] == 30000 and got[33]["n_dup_lines"] == 2 and got[34]["n_repeat_words"] == 0 and got[1]["n_words"] == 0
     out = quality_rules.filtered(docs(spark, rows))
-    assert out.columns == ["doc_id", "text", "source", "n_tokens", "row"] and [r["doc_id"] for r in out.collect()] == [30]
+    assert out.columns == ["doc_id", "text", "source", "n_tokens", "row"] and sorted(r["doc_id"] for r in out.collect()) == [30, 35, 36]
     assert quality_rules.quality(docs(spark, [])).count() == 0
 
 
@@ -464,6 +576,12 @@ def test_hnsw_edges(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = [tuple(r) for r in hnsw.nearest(df, df, k=5).orderBy("query_id", "rank").collect()]
     assert [g[:3] for g in got if g[0] == 1] == [(1, 1, 2), (1, 2, 2), (1, 3, 8)] and {g[2] for g in got if g[0] == 8} == {1, 2} and {g[0] for g in got} == {1, 2, 8}
+    assert [g[:3] for g in got if g[0] == 2] == [(2, 1, 1), (2, 2, 8)]
+    more = spark.createDataFrame([(2, [0.1, 1.0], "x", 1)], "vec_id long, embedding array<float>, score string, rank int")
+    both = defaultdict(list)
+    for r in hnsw.nearest(df.withColumn("rank", F.lit("r")), df.unionByName(more, allowMissingColumns=True), k=2).orderBy("rank").collect():
+        both[r["query_id"], r["query_hash"]].append(r["vec_id"])
+    assert sorted(both.values()) == [[1, 2], [1, 8], [2, 2], [8, 1]] and [i for i, _ in both].count(2) == 2
     assert hnsw.nearest(df.where("false"), df).count() == 0 and hnsw.nearest(df, df.where("false")).count() == 0
 
 
