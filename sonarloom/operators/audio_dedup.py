@@ -9,12 +9,13 @@ import difflib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from sonarloom.functions import text as T
 from sonarloom.operators.components import components
+from sonarloom.operators.report import numbered
 
 #: Seconds per fingerprint value of the public Chromaprint algorithm: a hop of 4096 / 3 samples at 11025 Hz.
 ITEM = 4096 / 3 / 11025
@@ -26,34 +27,49 @@ def not_flat(fp: str = "fp") -> Column:
     return F.size(F.array_distinct(fp)) > FLAT
 
 
+def _signs(x: np.ndarray) -> np.ndarray:
+    """A row of +1 and -1 per bit of the values."""
+    bits = np.asarray(x, np.uint64) >> np.arange(32, dtype=np.uint64)[:, None] & np.uint64(1)
+    return np.where(bits == 1, 1.0, -1.0)
+
+
 def align(a: np.ndarray, b: np.ndarray, item: float = ITEM, min_overlap: float = MIN_OVERLAP) -> tuple[float, int, int] | None:
     """(bit error rate, offset of b in a, overlap) at the first offset with the lowest rate; None if none overlaps enough.
 
-    Agreements at all offsets are a correlation of bits, taken by a Fourier transform and rounded back to whole numbers."""
-    m, n = len(a), len(b)
-    lags = np.arange(1 - n, m)
-    overlap = np.minimum(m, lags + n) - np.maximum(0, lags)
-    ok = overlap * item >= min_overlap
-    if not ok.any():
+    The overlap asked for bounds the offsets to look at; agreements at all of them are one correlation of bits by a
+    Fourier transform, rounded back to whole numbers."""
+    need = max(1, int(np.ceil(min_overlap / item - 1e-9)))
+    if need > min(len(a), len(b)):
         return None
-    shifts = np.arange(32, dtype=np.uint64)[:, None]
-    signs = lambda x: ((np.asarray(x, np.uint64)[None] >> shifts) & np.uint64(1)).astype(float) * 2 - 1
-    size = m + n - 1
-    both = np.fft.rfft(signs(a), size) * np.fft.rfft(signs(b)[:, ::-1], size)
-    agree = np.rint(np.fft.irfft(both.sum(0), size)).astype(np.int64)
-    wrong = (32 * overlap - agree) // 2
-    rate = np.where(ok, wrong / (32.0 * np.maximum(overlap, 1)), np.inf)
-    k = int(rate.argmin())
-    return float(rate[k]), int(lags[k]), int(overlap[k])
+    offsets = range(need - len(b), len(a) - need + 1)
+    length = len(a) + len(b)
+    spectrum = (np.fft.rfft(_signs(a), length) * np.fft.rfft(_signs(b), length).conj()).sum(axis=0)
+    # The place of a negative offset in a circular correlation is counted from its end.
+    agree = np.rint(np.fft.irfft(spectrum, length)).astype(np.int64)[np.array(offsets) % length]
+    shared = np.array([min(len(a) - max(o, 0), len(b) + min(o, 0)) for o in offsets])
+    rates = (32 * shared - agree) / (64.0 * shared)
+    best = int(np.argmin(rates))
+    return float(rates[best]), offsets[best], int(shared[best])
 
 
 def candidates(fps: DataFrame, key: str = "_id", fp: str = "fp", least: int = 1, order: str | None = None) -> DataFrame:
-    """Pairs a, b (a before b) that share ``least`` distinct values or more."""
+    """Pairs a, b (a before b) of clips that aren't flat and share ``least`` distinct values or more, and their number.
+
+    Each clip is looked up by its rarest values only, ``least - 1`` fewer than it has: of so many shared ones, at least
+    one is among them on both sides. So values that very many clips have, as of silence, make no pairs unless a clip
+    has ``least`` of them. The pairs found are counted on their whole sets."""
     order = order or key
-    values = fps.select(F.col(key).alias("k"), F.col(order).alias("o"), F.explode(F.array_distinct(fp)).alias("value"))
-    x, y = values.select(F.col("k").alias("a"), F.col("o").alias("oa"), "value"), values.select(F.col("k").alias("b"), F.col("o").alias("ob"), "value")
-    pairs = x.join(y, "value").where((F.col("oa") < F.col("ob")) | (F.col("oa") == F.col("ob")) & (F.col("a") < F.col("b")))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    solid = fps.where(not_flat(fp)).select(F.col(key).alias("k"), F.col(order).alias("o"), F.array_distinct(fp).alias("own"))
+    values = solid.select("k", "o", F.size("own").alias("n"), F.explode("own").alias("value"))
+    spread = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    common = values.join(spread, "value").groupBy("k", "o", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
+    # Values of one clip only come first in the order and need no row.
+    rare = common.select("k", "o", F.explode(F.slice("v", F.lit(1), F.greatest(F.size("v") - (least - 1), F.lit(0)))).alias("v")).select("k", "o", "v.value")
+    x, y = (rare.select(F.col("k").alias(s), F.col("o").alias(f"o{s}"), "value") for s in "ab")
+    pairs = x.join(y, "value").where((F.col("oa") < F.col("ob")) | (F.col("oa") == F.col("ob")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    left, right = (solid.select(F.col("k").alias(s), F.col("own").alias(f"v{s}")) for s in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select("a", "b", F.size(F.array_intersect("va", "vb")).cast("long").alias("shared")).where(F.col("shared") >= least)
 
 
 def alignments(pairs: DataFrame, fps: DataFrame, key: str = "_id", max_ber: float = MAX_BER, item: float = ITEM, min_overlap: float = MIN_OVERLAP) -> DataFrame:
@@ -103,10 +119,9 @@ def with_texts(pairs: DataFrame, texts: DataFrame, key: str = "_id", text: str =
 
 def groups(pairs: DataFrame, nodes: DataFrame, key: str = "_id", order: tuple[str, ...] = ("created_at", "line_no")) -> DataFrame:
     """keep (the earliest) and duplicates of each group of linked clips, in node order; null times come first."""
-    by = Window.orderBy(F.coalesce(order[0], F.lit("")), *order[1:])
     linked = pairs.select(F.col("a").alias(key)).union(pairs.select(F.col("b").alias(key))).distinct()
-    # Only linked clips are ranked.
-    ranked = nodes.join(linked, key, "left_semi").withColumn("n", F.row_number().over(by).cast("long")).select(key, "n")
+    # Only linked clips are ranked, by ranges of the order.
+    ranked = numbered(nodes.join(linked, key, "left_semi"), F.coalesce(order[0], F.lit("")), *map(F.col, order[1:]), name="n").select(key, F.col("n").cast("long").alias("n"))
     x, y = (ranked.select(F.col(key).alias(f"k{s}"), F.col("n").alias(f"n{s}")) for s in "ab")
     edges = pairs.join(x, F.col("a") == F.col("ka")).join(y, F.col("b") == F.col("kb")).select("na", "nb")
     found = components(edges, "na", "nb").join(ranked, F.col("node") == F.col("n"))

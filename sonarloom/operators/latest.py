@@ -50,3 +50,26 @@ def derived_manifest(manifest: DataFrame, stats: DataFrame, key: str = "_id") ->
     ok = stats.where("status = 'ok'").select(F.col(key).alias("__k")).distinct()
     out = manifest.join(ok, F.col(key) == F.col("__k"), "left").withColumn("source_file", F.col("file"))
     return out.withColumn("file", F.when(F.col("__k").isNotNull(), F.concat(T.file_stem("source_file"), F.lit(".wav")))).drop("__k")
+
+
+def missing_captions(records: DataFrame, cache: DataFrame, key: str = "_id") -> DataFrame:
+    """Records without a cached caption that can be asked for: those with an index."""
+    return records.join(cache.select(key), key, "left_anti").where(F.coalesce(F.col("_index"), F.lit("")) != "")
+
+
+def with_file(records: DataFrame, manifest: DataFrame, strict: bool = False, key: str = "_id") -> DataFrame:
+    """The file of each record; ``strict``: a record without one is an error, as scoring needs the audio."""
+    found = records.join(manifest.select(F.col(key).alias("__k"), "file"), F.col(key) == F.col("__k"), "left").drop("__k")
+    if not strict:
+        return found
+    message = F.concat(F.lit("no file for "), F.coalesce(F.col(key).cast("string"), F.lit("a record without id")))
+    return found.withColumn("file", F.when(has_file(), F.col("file")).otherwise(F.raise_error(message)))
+
+
+def overridden(records: DataFrame, new: DataFrame, key: str = "_id") -> DataFrame:
+    """Records whose fields the row of the same key in ``new`` replaces, nulls included; rows of ``new`` are one a key. Fields
+    that only ``new`` has are added, null for records without a row there."""
+    side = new.select(F.col(key).alias("__k"), F.lit(True).alias("__in"), *[F.col(n).alias(f"__{n}") for n in new.columns if n != key])
+    out = records.join(side, F.col(key) == F.col("__k"), "left")
+    replaced = {n: F.when(F.col("__in"), F.col(f"__{n}")).otherwise(F.col(n) if n in records.columns else F.lit(None)) for n in new.columns if n != key}
+    return out.withColumns(replaced).drop("__k", "__in", *[f"__{n}" for n in new.columns if n != key])

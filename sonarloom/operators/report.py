@@ -117,18 +117,99 @@ def speed(rows: DataFrame, duration: str = "transcript_duration", process: str =
     return out.withColumn("speed", T.ratio("audio_minutes", "work_minutes"))
 
 
-def all_match(rows: DataFrame, caption: str, *needles: str) -> DataFrame:
-    """Whether every caption has all the words; true for no rows."""
+def all_match(rows: DataFrame, caption: str, *needles: str, by: list[str] | None = None) -> DataFrame:
+    """Whether every caption has all the words (in each group of ``by``); true for no rows."""
     cond = F.lit(True)
     for n in needles:
         cond = cond & T.has_substring(caption, n)
-    return rows.agg(F.coalesce(F.bool_and(cond), F.lit(True)).alias("all_match"))
+    return rows.groupBy(*(by or [])).agg(F.coalesce(F.bool_and(cond), F.lit(True)).alias("all_match"))
+
+
+#: Columns of the report in order; the second group is left out where no clip was scored, the third without translations.
+COLUMNS = [
+    "no", "status", "catatan", "platform", "created_at", "durasi", "proses", "lang", "kata", "mbg", "prabowo_lisan", "suara", "suara_detik", "suara_porsi", "suara_skor", "n_suara",
+    "peran", "caption", "transkrip", "per_pembicara", "terjemahan", "kutipan", "link", "file", "_id", "_index",
+]
+SPEAKER_COLUMNS = ["suara", "suara_detik", "suara_porsi", "suara_skor", "n_suara", "peran", "per_pembicara", "kutipan"]
+
+
+def manual_notes(spark, given: list[str]) -> DataFrame:
+    """_id and manual_note of ``_id=text`` arguments; of several for an id, the last."""
+    rows = spark.createDataFrame([(k, g) for k, g in enumerate(given)], "place int, g string").select("place", T.key_value("g").alias("kv"))
+    return rows.groupBy(F.col("kv.key").alias("_id")).agg(F.max_by("kv.value", "place").alias("manual_note"))
+
+
+def report_rows(
+    rows: DataFrame, spoken: list[str], named: list[str], name: str, speakers: DataFrame | None = None, captions: DataFrame | None = None,
+    translations: DataFrame | None = None, manual: DataFrame | None = None, files: DataFrame | None = None, turn_texts: DataFrame | None = None,
+) -> DataFrame:
+    """The report: a row per transcript in the report's order, all of ``COLUMNS`` that their sidecars allow.
+
+    ``rows``: _id, _index, line_no, platform, created_at, lang, content, link, transcript and its status, lang, duration, process_seconds.
+    ``speakers``: _id, verdict, target_seconds, max_sim, n_voices, voices, speech_seconds, segments (start, text, label); captions and
+    translations: _id, text; ``files``: _id, file; ``turn_texts``: _id, turns. Missing sidecars and rows have defaults;
+    sidecars have one row per id."""
+    out = numbered(rows, *report_key())
+    first = first_seen(out.where(F.col("transcript_status") == DONE), "transcript").select(F.col("_id").alias("__d"), "duplicate_of")
+    out = out.join(first, F.col("_id") == F.col("__d"), "left").drop("__d")
+
+    def joined(df: DataFrame | None, kinds: dict[str, str]) -> DataFrame:
+        if df is None:
+            return out.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()})
+        have = [F.col(c) if c in df.columns else F.lit(None).cast(k).alias(c) for c, k in kinds.items()]
+        return out.join(df.select(F.col("_id").alias("__k"), *have), F.col("_id") == F.col("__k"), "left").drop("__k")
+
+    voices = "array<struct<seconds double>>"
+    out = joined(speakers, {"verdict": "string", "target_seconds": "double", "max_sim": "double", "n_voices": "int", "speech_seconds": "double", "voices": voices, "spoken": "array<struct<start double, text string, label string>>"})
+    out = joined(None if captions is None else captions.select("_id", F.col("text").alias("cached"), F.lit(True).alias("is_cached")), {"cached": "string", "is_cached": "boolean"})
+    out = joined(None if translations is None else translations.select("_id", F.col("text").alias("translated")), {"translated": "string"})
+    out = joined(manual, {"manual_note": "string"})
+    out = joined(files, {"file": "string"})
+    out = joined(turn_texts, {"turns": "string"})
+    out = out.withColumn("caption", F.when(F.coalesce("is_cached", F.lit(False)), F.col("cached")).otherwise(T.text_of("content")))
+    heard = T.has_substring("transcript", *named)
+    target = F.filter("spoken", lambda s: s["label"] == "target")
+    quotes = F.array_join(F.transform(target, lambda s: F.concat(F.lit("["), T.mmss(s["start"]), F.lit("] "), s["text"])), "\n")
+    full = out.select(
+        "no", F.col("transcript_status").alias("status"), notes(out).alias("catatan"), "platform", "created_at", F.col("transcript_duration").alias("durasi"), F.col("process_seconds").alias("proses"),
+        F.col("transcript_lang").alias("lang"), T.space_word_count("transcript").cast("long").alias("kata"), T.yes_no(T.has_substring("transcript", *spoken)).alias("mbg"), T.yes_no(heard).alias("prabowo_lisan"),
+        F.coalesce("verdict", F.lit(NO_SPEECH_VERDICT)).alias("suara"), F.coalesce("target_seconds", F.lit(0.0)).alias("suara_detik"),
+        T.ratio(F.coalesce("target_seconds", F.lit(0.0)), F.nullif("transcript_duration", F.lit(0.0))).alias("suara_porsi"), F.col("max_sim").alias("suara_skor"), F.coalesce("n_voices", F.lit(0)).alias("n_suara"),
+        role(F.col("verdict"), heard, F.col("caption"), name).alias("peran"), "caption", T.text_of("transcript").alias("transkrip"), T.text_of("turns").alias("per_pembicara"),
+        T.text_of("translated").alias("terjemahan"), F.coalesce(quotes, F.lit("")).alias("kutipan"), "link", "file", "_id", "_index",
+    )
+    optional = {c: speakers is not None for c in SPEAKER_COLUMNS} | {"terjemahan": translations is not None}
+    return full.select(*present(COLUMNS, optional))
+
+
+def summary(report: DataFrame, method: list[tuple[str, float | None, str | None]] | None = None, *captions: str) -> DataFrame:
+    """The batch in rows of place, section, name, value and text: counts by status, minutes, speed, mentions, roles, seconds of
+    target speech, then ``method``: literal rows of how it was made. ``report``: rows of ``report_rows``. The figures are one
+    aggregate each; captions: words that all captions are said to have, if they do."""
+    spark, has = report.sparkSession, set(report.columns)
+    parts = [count_over(report, "status", STATUSES, "total").select(F.lit("status").alias("section"), "place", F.col("value").alias("name"), F.col("n").cast("double").alias("value"))]
+    one = speed(report, "durasi", "proses").join(all_match(report, "caption", *captions) if captions else spark.createDataFrame([(False,)], "all_match boolean"))
+    done = F.col("status") == DONE
+    counts = report.agg(F.count_if(done & (F.col("mbg") == "ya")).alias("spoken"), F.count_if(done & (F.col("prabowo_lisan") == "ya")).alias("named"), F.count("*").alias("hits"), F.count_if(F.coalesce("file", F.lit("")) == "").alias("missing"), *([F.sum("suara_detik").alias("target_seconds")] if "suara_detik" in has else []))
+    figures = one.join(counts)
+    names = ["audio_minutes", "work_minutes", "speed", "spoken", "named", "hits", "missing", *(["target_seconds"] if "suara_detik" in has else [])]
+    listed = F.array(*[F.struct(F.lit(k).alias("place"), F.lit(n).alias("name"), F.col(n).cast("double").alias("value"), (F.when(F.col("all_match"), F.lit("Semua caption memuat " + ", ".join(captions))) if n == "spoken" and captions else F.lit(None).cast("string")).alias("text")) for k, n in enumerate(names)])
+    parts.append(figures.select(F.explode(listed).alias("f")).select(F.lit("metrik").alias("section"), "f.place", "f.name", "f.value", "f.text"))
+    if "peran" in has:
+        parts.append(count_over(report, "peran", ROLES, "total").select(F.lit("peran").alias("section"), "place", F.col("value").alias("name"), F.col("n").cast("double").alias("value")))
+    if method:
+        told = [("metode", k, n, None if v is None else float(v), t) for k, (n, v, t) in enumerate(method)]
+        parts.append(spark.createDataFrame(told, "section string, place int, name string, value double, text string"))
+    out = parts[0].withColumn("text", F.lit(None).cast("string"))
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
-def variants(rows: DataFrame, variant: str, status: str, flagged: str, words: str) -> DataFrame:
-    """Status counts, flagged segments and words per variant of an experiment."""
+def variants(rows: DataFrame, variant: str, status: str, flagged: str, words: str, leaked: str | None = None) -> DataFrame:
+    """Status counts, flagged segments and words per variant of an experiment, and how many rows are ``leaked`` (boolean)."""
     one = lambda s: F.count_if(F.col(status) == s).alias(s)
-    return rows.groupBy(variant).agg(*[one(s) for s in STATUSES[:3]], F.sum(flagged).alias("flagged"), F.sum(words).alias("words"))
+    return rows.groupBy(variant).agg(*[one(s) for s in STATUSES[:3]], F.sum(flagged).alias("flagged"), F.sum(words).alias("words"), *([F.count_if(F.col(leaked)).alias("leaked")] if leaked else []))
 
 
 def present(columns: list[str], optional: dict[str, bool]) -> list[str]:

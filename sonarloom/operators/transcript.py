@@ -25,18 +25,22 @@ REPEAT_WORDS, REPEAT_SHARE, COPY_WORDS, COPY_SHARE = 8, 0.4, 5, 0.8
 
 
 def reason(text: Column, start: Column, duration: Column, prompt_words: Column | list[str]) -> Column:
-    """Why a segment looks made up: the first of the reasons that holds, else null."""
-    w, n = T.words(text), F.size(T.words(text))
+    """Why a segment looks made up: the first of the reasons that holds, else null. Words are taken once: a struct of
+    them is the one element that the cascade is transformed over."""
     prompt = prompt_words if isinstance(prompt_words, Column) else F.array(*[F.lit(p) for p in prompt_words]).cast("array<string>")
-    stock = T.bare(text).isin(STOCK_PHRASES) | T.bare(text).rlike(SPEAKER_LABEL)
-    copied = F.size(F.filter(w, lambda x: F.array_contains(prompt, x)))
-    return (
-        F.when(n == 0, EMPTY)
-        .when((F.coalesce(duration, F.lit(0.0)) != 0) & (start >= duration), OUTSIDE)
-        .when(stock, STOCK)
-        .when((n >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) / n < REPEAT_SHARE), REPEATED)
-        .when((n >= COPY_WORDS) & (copied / n >= COPY_SHARE), PROMPT_COPY)
-    )
+
+    def cascade_(x: Column) -> Column:
+        w, n = x["w"], F.size(x["w"])
+        copied = F.size(F.filter(w, lambda y: F.array_contains(prompt, y)))
+        return (
+            F.when(n == 0, EMPTY)
+            .when((F.coalesce(duration, F.lit(0.0)) != 0) & (start >= duration), OUTSIDE)
+            .when(x["bare"].isin(STOCK_PHRASES) | x["bare"].rlike(SPEAKER_LABEL), STOCK)
+            .when((n >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) / n < REPEAT_SHARE), REPEATED)
+            .when((n >= COPY_WORDS) & (copied / n >= COPY_SHARE), PROMPT_COPY)
+        )
+
+    return F.transform(F.array(F.struct(T.words(text).alias("w"), T.bare(text).alias("bare"))), cascade_)[0]
 
 
 def voiced(segment: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonarloom.functions import text as T
@@ -36,6 +36,12 @@ def merged(spans: DataFrame, key: str, start: str = "start", end: str = "end") -
     return marked.groupBy(key, "__isle").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__isle")
 
 
+def energy_share(part: Column, whole: Column) -> Column:
+    """Energy of a part's samples against that of the whole's."""
+    energy = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
+    return energy(part) / F.greatest(energy(whole), F.lit(1e-9))
+
+
 def overlaps(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Pairs of spans of a key that overlap, with the overlap's length: a range join on top of an equi join."""
     x = a.select(key, F.col("start").alias("a_start"), F.col("end").alias("a_end"))

@@ -6,6 +6,7 @@ terms, range (with a day-based format), exists, sort, size, _source. Words match
 from __future__ import annotations
 
 import json
+import math
 import re
 from functools import reduce
 
@@ -139,6 +140,24 @@ def compile_query(q: dict) -> Column:
     raise ValueError(f"unknown clause: {kind}")
 
 
+def query_terms(q: dict) -> list[tuple[str, str]]:
+    """(word, field) of the positive words of a query's full-text clauses, in order, each once."""
+    found: list[tuple[str, str]] = []
+    for kind, body in q.items():
+        if kind == "bool":
+            for part in ("must", "filter", "should"):
+                some = body.get(part, [])
+                for clause in some if isinstance(some, list) else [some]:
+                    found += query_terms(clause)
+        elif kind in ("simple_query_string", "query_string"):
+            words = re.findall(r"[^\W]+", re.sub(r"(^|\s)-\S+", " ", body["query"].lower()))
+            found += [(w, f) for w in words for f in body.get("fields") or [body.get("default_field", "content")]]
+        elif kind == "match":
+            for field, value in body.items():
+                found += [(w, field) for w in re.findall(r"[^\W]+", str(value["query"] if isinstance(value, dict) else value).lower())]
+    return list(dict.fromkeys(found))
+
+
 def search(posts: DataFrame, body: str | dict, tie: str = "_id", size: int | None = None) -> DataFrame:
     """Rows that match, in the body's order (ties by id), at most ``size`` of them (0: all)."""
     body = json.loads(body) if isinstance(body, str) else body
@@ -148,6 +167,16 @@ def search(posts: DataFrame, body: str | dict, tie: str = "_id", size: int | Non
         (field, way), *_ = s.items() if isinstance(s, dict) else [(s, "asc")]
         way = way["order"] if isinstance(way, dict) else way
         order.append(F.desc(field) if way == "desc" else F.asc(field))
+    if not order and (terms := query_terms(body.get("query", {}))):
+        # Without a sort, by relevance: how often the terms stand in a row, rarer terms (among all rows) more.
+        tokens = {f: T.words(f) for _, f in terms}
+        seen = posts.agg(F.count("*").alias("n"), *[F.count_if(F.array_contains(tokens[f], t)).alias(f"t{k}") for k, (t, f) in enumerate(terms)]).first()
+        weights = [math.log(1 + (seen["n"] - seen[f"t{k}"] + 0.5) / (seen[f"t{k}"] + 0.5)) for k in range(len(terms))]
+        score = F.lit(0.0)
+        for (t, f), w in zip(terms, weights):
+            n = F.size(tokens[f]) - F.size(F.array_remove(tokens[f], t))
+            score = score + F.lit(w) * n / (n + 1.2)
+        order = [F.desc(F.round(score, 9))]
     out = out.orderBy(*order, F.asc(tie))
     n = body.get("size", DEFAULT_SIZE) if size is None else size
     out = out.limit(n) if n else out
