@@ -11,9 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests on one machine) a temporary folder is made and remembered."""
+    A directory set by ``setCheckpointDir`` counts too. Only where both are unset and all runs on one machine (tests) a
+    temporary folder is made and remembered; on a cluster that is an error, as executors would not share it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        made = spark._jsc.sc().getCheckpointDir()
+        folder = made.get() if made.isDefined() else None
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='sonarloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
