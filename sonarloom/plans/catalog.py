@@ -137,11 +137,12 @@ def prompt_leaks(spark, sf_dir):
 
 
 @query(f"""WITH {SQL_SEGMENTS} SELECT source, count(*) FILTER (WHERE status = 'done') AS done, count(*) FILTER (WHERE status = 'suspect_hallucination') AS suspect_hallucination,
-count(*) FILTER (WHERE status = 'no_speech') AS no_speech, sum(n_dropped)::BIGINT AS flagged, sum(len(list_filter(string_split(transcript, ' '), lambda x: x <> '')))::BIGINT AS words
+count(*) FILTER (WHERE status = 'no_speech') AS no_speech, sum(n_dropped)::BIGINT AS flagged, sum(len(list_filter(string_split(transcript, ' '), lambda x: x <> '')))::BIGINT AS words, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM flagged WHERE reason IN ('berulang', 'salinan_prompt'))) AS leaked
 FROM statused JOIN documents USING (doc_id) GROUP BY source""")
 def variant_comparison(spark, sf_dir):
     rows = records(spark, sf_dir).withColumn("flagged", F.size(report.dropped(F.col("segments"))).cast("long")).withColumn("words", T.space_word_count("transcript").cast("long"))
-    return report.variants(rows.join(_t(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id"), "source", "transcript_status", "flagged", "words")
+    rows = rows.withColumn("leaked", transcript.prompt_leaked(F.lit("prompt"), F.col("segments")))
+    return report.variants(rows.join(_t(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id"), "source", "transcript_status", "flagged", "words", "leaked")
 
 
 # --- append logs -----------------------------------------------------------------------------------------------------
@@ -283,9 +284,9 @@ def word_counts_b(spark, sf_dir):
 
 
 @query(r"""SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), '(?i)\bthe\b|all rights') THEN 'ya' ELSE 'tidak' END AS word, CASE WHEN regexp_matches(coalesce(text, ''), '(?i)and|moron') THEN 'ya' ELSE 'tidak' END AS part,
-CASE WHEN contains(lower(coalesce(text, '')), 'idiot') THEN 'ya' ELSE 'tidak' END AS sub FROM documents WHERE lang = 'en'""")
+CASE WHEN contains(lower(coalesce(text, '')), 'idiot') THEN 'ya' ELSE 'tidak' END AS sub FROM documents""")
 def mention_flags(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").where("lang = 'en'")
+    d = _t(spark, sf_dir, "documents")
     return d.select("doc_id", T.yes_no(T.mentions("text", r"\bthe\b|all rights")).alias("word"), T.yes_no(T.mentions("text", "and|moron")).alias("part"), T.yes_no(T.has_substring("text", "idiot")).alias("sub"))
 
 
@@ -298,7 +299,7 @@ def speed_metrics(spark, sf_dir):
 
 @query("SELECT lang, coalesce(bool_and(contains(lower(coalesce(text, '')), 'e') AND contains(lower(coalesce(text, '')), 'n')), true) AS all_match FROM documents GROUP BY lang")
 def all_captions_match(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").groupBy("lang").agg(F.coalesce(F.bool_and(T.has_substring("text", "e") & T.has_substring("text", "n")), F.lit(True)).alias("all_match"))
+    return report.all_match(_t(spark, sf_dir, "documents"), "text", "e", "n", by=["lang"])
 
 
 @query("SELECT o_orderkey, replace(printf('%.1f', round(o_totalprice, 1)), '.', ',') AS price, replace(coalesce(o_orderpriority, ''), chr(13), ' ') AS priority FROM orders")
@@ -384,9 +385,8 @@ def mmss_quotes(spark, sf_dir):
 SELECT conv_id, round(t, 1) AS target_seconds, round(a, 1) AS speech_seconds, CASE WHEN round(a, 1) <> 0 THEN round(round(t, 1) / round(a, 1), 3) ELSE 0 END AS target_share, CASE WHEN round(t, 1) >= 3 THEN 'ya' ELSE 'tidak' END AS verdict FROM s""")
 def talk_time_by_role(spark, sf_dir):
     # Whole milliseconds are summed, so that the order of rows can't change the result.
-    rows = clips(spark, sf_dir).groupBy("conv_id").agg(F.coalesce(F.sum(F.when(F.col("role") == "user", F.col("end_ms") - F.col("start_ms"))), F.lit(0)).alias("t"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("a"))
-    t, a = F.round(F.col("t") / 1000.0, 1), F.round(F.col("a") / 1000.0, 1)
-    return rows.select("conv_id", t.alias("target_seconds"), a.alias("speech_seconds"), voices.share(t, a).alias("target_share"), voices.verdict(t, F.lit(True)).alias("verdict"))
+    rows = clips(spark, sf_dir).select("conv_id", F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), F.when(F.col("role") == "user", "target").alias("label"))
+    return voices.talk_time(rows, "conv_id", 1000.0)
 
 
 def voiced_clips(spark, sf_dir):
@@ -528,7 +528,7 @@ def transcript_ratio(spark, sf_dir):
     return audio_dedup.with_texts(pairs, rows.select("_id", "transcript"))
 
 
-@query()
+@query("SELECT doc_id, doc_id % 3 = 0 AS has_audio FROM documents")
 def audio_track_predicate(spark, sf_dir):
     """Bytes with and without a sound track's handler box."""
     data = F.when(F.col("doc_id") % 3 == 0, F.lit(b"\x00\x00hdlr\x00\x00\x00\x00\x0a\x00\x00\x00soun")).otherwise(F.lit(b"hdlrvide"))
@@ -547,3 +547,6 @@ def event_sessions(spark, sf_dir):
 @query("""WITH s AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * k AS start FROM events, (SELECT unnest([0, 1]) AS k)) SELECT start, start + INTERVAL 10 MINUTE AS "end", event_type, count(*) AS n FROM s GROUP BY ALL""")
 def event_sliding(spark, sf_dir):
     return incremental.sliding(_t(spark, sf_dir, "events"), "ts", "10 minutes", "5 minutes", "event_type")
+
+
+from sonarloom.plans import more as _more  # noqa: E402, F401  registers its queries
