@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders made inside ``scratch`` blocks, innermost last.
+_made: list[list[str]] = []
+
+
 def root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
@@ -28,22 +34,40 @@ def root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder; nothing is created."""
     app = spark.sparkContext.applicationId
-    return f"{root(spark)}/sonarloom-{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/sonarloom-{app}/{name}-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, *keep: str) -> Iterator[None]:
+    """Deletes the tables made inside, but those in ``keep``, when the block ends: for work whose result is stored inside."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            if path not in keep:
+                delete(spark, path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, which cuts its lineage:
     an executor lost later costs a re-read, not a re-computation."""
-    path = new_folder(df.sparkSession, name)
+    path = path or new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table of this application (call it when its results are stored)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/sonarloom-{spark.sparkContext.applicationId}")
-    path.getFileSystem(conf).delete(path, True)
+    delete(spark, f"{root(spark)}/sonarloom-{spark.sparkContext.applicationId}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
