@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before has kept. All but the last return the
 columns of documents; n_chars follows the text. Packing and keyed pseudonyms have no SQL, so the whole is tested
-against a plain version."""
+against a plain version. ``run`` deletes what a stage has made besides its result, and the result when the next
+stage's is stored; the last stage reads tables that stay until ``workspace.release``.
+
+Defined results: null and empty texts go in the first stage, as texts of under ten words do; a null id is no duplicate of
+anything; rows that repeat an id are judged row by row, and as one document by near-dedup; null sources are one site;
+n_chars of a null text is null; an empty table gives an empty result; extra columns pass through to the last stage,
+whatever their names."""
 
 from __future__ import annotations
 
@@ -49,7 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = workspace.table(spark, sf_dir, "documents")
+    docs, before = workspace.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = workspace.materialize(stage(spark, docs, sf_dir), name)
+        path = workspace.new_folder(spark, name)
+        with workspace.scratch(spark, path):
+            docs = workspace.materialize(stage(spark, docs, sf_dir), name, path)
+        if before:
+            workspace.delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
