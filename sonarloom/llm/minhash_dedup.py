@@ -326,8 +326,10 @@ def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group."""
-    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    left = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

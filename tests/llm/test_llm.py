@@ -1,6 +1,7 @@
 """Operators for training data against brute force, the libraries and exact round trips, on small tables with nulls, empty
 and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import ast
 import base64
 import hashlib
 import io
@@ -585,6 +586,27 @@ def test_hnsw_edges(spark):
     assert hnsw.nearest(df.where("false"), df).count() == 0 and hnsw.nearest(df, df.where("false")).count() == 0
 
 
+def test_pipeline_edges(spark):
+    """Nulls in all columns, empty and long texts, repeated rows and ids, names that clash, and no rows at all."""
+    import corpus_pipeline
+
+    extra = "`__gone` string, doc string, h long, row string, `all` string, kept boolean, own long, verdict string, `t` string"
+    kind = f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
+    say = lambda k: " ".join(f"word{k}x{j} the" for j in range(30))
+    texts_ = [(1, say(1)), (1, say(1)), (2, say(1) + " more"), (3, None), (None, say(4)), (None, None), (5, ""), (6, " \n"), (7, "one"), (8, say(8) + " mail ann@example.org now"), (9, say(9)), (9, say(10)), (10, "the cat of " * 20000)]
+    rows = [(i, t, None if k % 2 else "en", None if k % 3 else "s", None, "g", "d", 1, "r", "a", None, 2, "v", "t") for k, (i, t) in enumerate(texts_)]
+    for some in (rows, []):
+        docs_ = spark.createDataFrame(some, kind)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs_ = corpus_pipeline.workspace.materialize(stage(spark, docs_, ""), name)
+            assert docs_.columns == [c.split()[0].strip("`") for c in kind.split(", ")]
+        left = docs_.collect()
+        assert sorted((r["doc_id"] or 0) for r in left) == ([0, 1, 1, 8, 9, 9] if some else [])
+        assert all(r["n_chars"] == len(r["text"]) and r["row"] == "r" and r["own"] == 2 for r in left) and not any("ann@" in r["text"] for r in left)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs_, "").collect()
+        assert len(pieces) == len(left)
+
+
 def test_pipeline(spark, sf):
     """Each stage against a plain version on its own input; the whole is their chain."""
     import corpus_pipeline
@@ -605,7 +627,7 @@ def test_pipeline(spark, sf):
             first.setdefault(line, r["doc_id"])
     want = {i: "\n".join(x for x in t.split("\n") if not x.strip(" \t\n\r\x0b\x0c") or len(sites[x]) < 10 or first[x] == i) for i, t in text(frames[1]).items()}
     assert text(frames[2]) == want
-    gone = {i for i, _, _, keep in map(eval, near_truth(text(frames[2]).items(), 5)) if not keep}
+    gone = {i for i, _, _, keep in map(ast.literal_eval, near_truth(text(frames[2]).items(), 5)) if not keep}
     assert set(text(frames[3])) == set(want) - gone
     names = pseudonyms.Pseudonyms(pseudonyms.TEST_KEY)
     assert text(frames[4]) == {i: names.text(t, {}) for i, t in text(frames[3]).items()}
