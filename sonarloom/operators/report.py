@@ -127,7 +127,7 @@ def all_match(rows: DataFrame, caption: str, *needles: str, by: list[str] | None
 
 #: Columns of the report in order; the second group is left out where no clip was scored, the third without translations.
 COLUMNS = [
-    "no", "status", "catatan", "platform", "created_at", "durasi", "proses", "lang", "kata", "mbg", "prabowo_lisan", "suara", "suara_detik", "suara_porsi", "suara_skor", "n_suara",
+    "no", "status", "catatan", "platform", "created_at", "durasi", "proses", "lang", "kata", "kunci_lisan", "nama_lisan", "suara", "suara_detik", "suara_porsi", "suara_skor", "n_suara",
     "peran", "caption", "transkrip", "per_pembicara", "terjemahan", "kutipan", "link", "file", "_id", "_index",
 ]
 SPEAKER_COLUMNS = ["suara", "suara_detik", "suara_porsi", "suara_skor", "n_suara", "peran", "per_pembicara", "kutipan"]
@@ -172,7 +172,7 @@ def report_rows(
     quotes = F.array_join(F.transform(target, lambda s: F.concat(F.lit("["), T.mmss(s["start"]), F.lit("] "), s["text"])), "\n")
     full = out.select(
         "no", F.col("transcript_status").alias("status"), notes(out).alias("catatan"), "platform", "created_at", F.col("transcript_duration").alias("durasi"), F.col("process_seconds").alias("proses"),
-        F.col("transcript_lang").alias("lang"), T.space_word_count("transcript").cast("long").alias("kata"), T.yes_no(T.has_substring("transcript", *spoken)).alias("mbg"), T.yes_no(heard).alias("prabowo_lisan"),
+        F.col("transcript_lang").alias("lang"), T.space_word_count("transcript").cast("long").alias("kata"), T.yes_no(T.has_substring("transcript", *spoken)).alias("kunci_lisan"), T.yes_no(heard).alias("nama_lisan"),
         F.coalesce("verdict", F.lit(NO_SPEECH_VERDICT)).alias("suara"), F.coalesce("target_seconds", F.lit(0.0)).alias("suara_detik"),
         T.ratio(F.coalesce("target_seconds", F.lit(0.0)), F.nullif("transcript_duration", F.lit(0.0))).alias("suara_porsi"), F.col("max_sim").alias("suara_skor"), F.coalesce("n_voices", F.lit(0)).alias("n_suara"),
         role(F.col("verdict"), heard, F.col("caption"), name).alias("peran"), "caption", T.text_of("transcript").alias("transkrip"), T.text_of("turns").alias("per_pembicara"),
@@ -190,7 +190,7 @@ def summary(report: DataFrame, method: list[tuple[str, float | None, str | None]
     parts = [count_over(report, "status", STATUSES, "total").select(F.lit("status").alias("section"), "place", F.col("value").alias("name"), F.col("n").cast("double").alias("value"))]
     one = speed(report, "durasi", "proses").join(all_match(report, "caption", *captions) if captions else spark.createDataFrame([(False,)], "all_match boolean"))
     done = F.col("status") == DONE
-    counts = report.agg(F.count_if(done & (F.col("mbg") == "ya")).alias("spoken"), F.count_if(done & (F.col("prabowo_lisan") == "ya")).alias("named"), F.count("*").alias("hits"), F.count_if(F.coalesce("file", F.lit("")) == "").alias("missing"), *([F.sum("suara_detik").alias("target_seconds")] if "suara_detik" in has else []))
+    counts = report.agg(F.count_if(done & (F.col("kunci_lisan") == "ya")).alias("spoken"), F.count_if(done & (F.col("nama_lisan") == "ya")).alias("named"), F.count("*").alias("hits"), F.count_if(F.coalesce("file", F.lit("")) == "").alias("missing"), *([F.sum("suara_detik").alias("target_seconds")] if "suara_detik" in has else []))
     figures = one.join(counts)
     names = ["audio_minutes", "work_minutes", "speed", "spoken", "named", "hits", "missing", *(["target_seconds"] if "suara_detik" in has else [])]
     listed = F.array(*[F.struct(F.lit(k).alias("place"), F.lit(n).alias("name"), F.col(n).cast("double").alias("value"), (F.when(F.col("all_match"), F.lit("Semua caption memuat " + ", ".join(captions))) if n == "spoken" and captions else F.lit(None).cast("string")).alias("text")) for k, n in enumerate(names)])

@@ -400,7 +400,7 @@ full_ AS (SELECT no, status, concat_ws('; ', CASE WHEN status = 'done' THEN null
   CASE WHEN duplicate_of IS NOT NULL THEN 'Duplikat isi dengan _id ' || duplicate_of || ' (reupload)' END), '') END, manual) AS catatan,
   transcript_lang AS platform, created_at, dur AS durasi, (_id % 9)::DOUBLE AS proses, transcript_lang AS lang,
   CASE WHEN trim(regexp_replace(coalesce(transcript, ''), ' +', ' ', 'g'), ' ') = '' THEN 0 ELSE length(trim(regexp_replace(coalesce(transcript, ''), ' +', ' ', 'g'), ' ')) - length(replace(trim(regexp_replace(coalesce(transcript, ''), ' +', ' ', 'g'), ' '), ' ', '')) + 1 END::BIGINT AS kata,
-  CASE WHEN contains(low, 'the') OR contains(low, 'que') THEN 'ya' ELSE 'tidak' END AS mbg, CASE WHEN heard THEN 'ya' ELSE 'tidak' END AS prabowo_lisan, suara, detik AS suara_detik,
+  CASE WHEN contains(low, 'the') OR contains(low, 'que') THEN 'ya' ELSE 'tidak' END AS kunci_lisan, CASE WHEN heard THEN 'ya' ELSE 'tidak' END AS nama_lisan, suara, detik AS suara_detik,
   CASE WHEN coalesce(dur, 0) = 0 THEN 0 ELSE detik / dur END::DOUBLE AS suara_porsi, CASE WHEN has THEN 0.5 END::DOUBLE AS suara_skor, CASE WHEN has THEN 2 ELSE 0 END::INT AS n_suara,
   CASE WHEN suara = 'ya' THEN 'pembicara' WHEN heard THEN 'dibicarakan' WHEN contains(lower(caption), 'moron') THEN 'hanya_caption' ELSE 'tidak_disebut' END AS peran, caption,
   coalesce(transcript, '') AS transkrip, coalesce(turns, '') AS per_pembicara, CASE WHEN has AND _id % 3 = 0 THEN 'terjemahan' ELSE '' END AS terjemahan,
@@ -418,7 +418,7 @@ METHOD = [("Model", None, "stand-in; 3 s"), ("Ambang", 0.45, "cosine"), ("Minima
 
 @query(f"""WITH {SQL_FULL}, st AS (SELECT unnest(range(5))::INT AS place, unnest(['done', 'suspect_hallucination', 'no_speech', 'no_audio', 'failed']) AS name), ro AS (SELECT unnest(range(4))::INT AS place, unnest(['pembicara', 'dibicarakan', 'hanya_caption', 'tidak_disebut']) AS name),
 s AS (SELECT place, name, (SELECT count(*) FROM full_ WHERE status = name) AS value FROM st), r AS (SELECT place, name, (SELECT count(*) FROM full_ WHERE peran = name) AS value FROM ro),
-a AS (SELECT sum(durasi) / 60 AS am, sum(proses) FILTER (WHERE durasi > 0) / 60 AS wm, count(*) FILTER (WHERE status = 'done' AND mbg = 'ya') AS sp, count(*) FILTER (WHERE status = 'done' AND prabowo_lisan = 'ya') AS na, count(*) AS hi,
+a AS (SELECT sum(durasi) / 60 AS am, sum(proses) FILTER (WHERE durasi > 0) / 60 AS wm, count(*) FILTER (WHERE status = 'done' AND kunci_lisan = 'ya') AS sp, count(*) FILTER (WHERE status = 'done' AND nama_lisan = 'ya') AS na, count(*) AS hi,
       count(*) FILTER (WHERE coalesce(file, '') = '') AS mi, sum(suara_detik) AS ts, bool_and(contains(lower(caption), 'a')) AS al FROM full_)
 SELECT 'status' AS section, place, name, value::DOUBLE AS value, NULL AS text FROM s UNION ALL SELECT 'status', 5, 'total', sum(value)::DOUBLE, NULL FROM s
 UNION ALL SELECT 'peran', place, name, value::DOUBLE, NULL FROM r UNION ALL SELECT 'peran', 4, 'total', sum(value)::DOUBLE, NULL FROM r
