@@ -134,6 +134,28 @@ def test_sweep_is_best_fit_decreasing(seed):
     assert seats == Counter(lengths) and all(v <= 64 for v in used.values()) and len(used) == best_fit(lengths, 64)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_supersteps_on_tables(spark, seed):
+    """Ranges and tables give what one process gives, a packing that holds every rank once."""
+    r = random.Random(seed)
+    runs = Counter(min(200, 1 + int(r.expovariate(1 / (10, 40, 90)[seed]))) for _ in range(3000))
+    runs[200] += 10**9
+    found = best_fit_packing.matched(spark.createDataFrame(list(runs.items()), "length bigint, n bigint"), 200)
+    assert (found == best_fit_packing.sweep(dict(runs), 200)).all()
+    ends, spans = Counter(), defaultdict(list)
+    for length, rank, n, first, at, per in found.tolist():
+        assert rank == ends[length] and n % per == 0
+        ends[length] += n
+        if length < 200:
+            for k in range(n // per):
+                spans[first + k].append((at, at + per * length))
+    assert ends == runs
+    for s in map(sorted, spans.values()):
+        assert [a for a, _ in s] == [0, *(e for _, e in s[:-1])] and s[-1][1] <= 200
+    small = [k for k, n in (runs - Counter({200: runs[200]})).items() for _ in range(n)]
+    assert best_fit(small, 200) * 0.999 - 1 <= len(spans) <= best_fit(small, 200) * 1.002 + 1
+
+
 def test_pseudonyms(spark):
     net = pseudonyms.Feistel(b"k")
     for n in (2, 10, 97, 1000):
