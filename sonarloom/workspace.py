@@ -74,9 +74,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits in a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Bound the rows and bytes of an Arrow batch, so that a batch of long texts fits in a Python worker."""
+    for key, most in ("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(spark.conf.get(key).removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
