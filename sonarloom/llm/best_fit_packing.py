@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonarloom import workspace
+from sonarloom.llm.memo import lean
 from sonarloom.llm.token_counts import slices
 from sonarloom.llm.word_bpe import WordBpe
 
@@ -74,7 +75,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, separator: int = 0, t
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(lean(run), PIECES)
 
 
 def successors(rows: Iterable[tuple], capacity: int, longest: int) -> list[tuple]:
@@ -250,7 +251,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int =
             cols += [pa.array(at[:, 3] + n // at[:, 5], pa.int64()), pa.array(at[:, 4] + n % at[:, 5] * length, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return made.join(offsets, ["task", "length"]).mapInArrow(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    return made.join(offsets, ["task", "length"]).mapInArrow(lean(place), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

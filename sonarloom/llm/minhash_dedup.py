@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonarloom import workspace
-from sonarloom.llm.memo import Memo
+from sonarloom.llm.memo import Memo, lean
 from sonarloom.llm.token_counts import slices
 from sonarloom.operators.components import components
 
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32), np.concatenate([np.zeros(0, np.int64), *keys]))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists], names=["doc", "n", "key", "bands"])
 
-    return docs.mapInArrow(run, "doc bigint, n bigint, key binary, bands array<bigint>")
+    return docs.mapInArrow(lean(run), "doc bigint, n bigint, key binary, bands array<bigint>")
 
 
 def bitmap(ids: DataFrame, count: int, plain: bool = False):
@@ -177,7 +177,7 @@ def shingle_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     rows = docs.where("doc is not null")
     if among is None:
         rows = rows.join(wanted, F.col("doc") == F.col("rep"), "left_semi")
-    return rows.withColumn("h", F.xxhash64("doc")).mapInArrow(run, "doc bigint, hashes binary")
+    return rows.withColumn("h", F.xxhash64("doc")).mapInArrow(lean(run), "doc bigint, hashes binary")
 
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +201,7 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = (sets.select(F.col("doc").alias(f"{k}d"), F.col("hashes").alias(f"{k}h")) for k in "ab")
     # The many different documents first; a centre's set meets them in a join that can be split.
     wide = pairs.join(right, F.col("b") == F.col("bd")).join(left, F.col("a") == F.col("ad"))
-    return wide.select("a", "b", "own_a", "own_b", "ah", "bh").mapInArrow(verify, "a bigint, b bigint, own_a bigint, own_b bigint")
+    return wide.select("a", "b", "own_a", "own_b", "ah", "bh").mapInArrow(lean(verify), "a bigint, b bigint, own_a bigint, own_b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -292,7 +292,7 @@ def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, row, np.repeat(n, n), np.concatenate([np.zeros(0, np.int64), *packed]))], names=["doc", "own", "row", "n", "h"])
 
     held = docs.join(sets, F.col("rep") == F.col("doc")).select("doc", "own", "hashes").distinct()
-    tokens = workspace.materialize(held.mapInArrow(unpack, "doc bigint, own bigint, row bigint, n bigint, h bigint"), "tokens")
+    tokens = workspace.materialize(held.mapInArrow(lean(unpack), "doc bigint, own bigint, row bigint, n bigint, h bigint"), "tokens")
     spread = workspace.materialize(tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "spread")
     # Rarest first; shingles of one set only come before all others and join nothing, so their number is enough.
     shared = tokens.join(spread, "h").groupBy("doc", "own", "row", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("t"))

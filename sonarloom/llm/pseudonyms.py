@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonarloom import workspace
-from sonarloom.llm.memo import Memo
+from sonarloom.llm.memo import Memo, lean
 
 ROUNDS = 10
 KINDS = ["email", "iban", "ssn", "date", "ip", "card", "phone"]
@@ -227,7 +227,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", counts: bool =
             new = pa.StructArray.from_arrays([pa.array(texts, f.type) if k == place else all_.field(k) for k, f in enumerate(all_.type)], fields=list(all_.type))
             yield pa.RecordBatch.from_arrays([new, *(pa.array([f.get(k, 0) for f in found], pa.int32()) for k in KINDS)], names=["all", *(f"n_{k}" for k in KINDS)])
 
-    done = rows.mapInArrow(run, schema)
+    done = rows.mapInArrow(lean(run), schema)
     return done.select(*[F.col("all")[c].alias(c) for c in docs.columns], *([f"n_{k}" for k in KINDS] if counts else []))
 
 
