@@ -66,7 +66,8 @@ def dropped(segments: Column) -> Column:
 
 def dropped_note(segments: Column) -> Column:
     gone = dropped(segments)
-    seconds = F.aggregate(gone, F.lit(0.0), lambda a, s: a + s["end"] - s["start"])
+    # Each length first: in another order, sums that end in a half round to another whole number.
+    seconds = F.aggregate(gone, F.lit(0.0), lambda a, s: a + (s["end"] - s["start"]))
     reasons = F.array_join(F.array_sort(F.array_distinct(F.transform(gone, lambda s: s["hallucination"]))), ", ")
     return F.when(F.size(gone) > 0, F.format_string(NOTE_DROPPED, F.size(gone), T.whole(seconds), reasons))
 

@@ -177,6 +177,13 @@ def test_notes_order(spark):
     assert [p.split()[0] for p in a.split("; ")] == ["Transkrip", "Bahasa", "1", "Prompt", "50%", "Duplikat", "m"] and b == "m"
 
 
+def test_dropped_seconds_add_lengths(spark):
+    """Lengths of 0.72 and 0.78 s make 1.5; ends added and starts taken off one by one make a little less."""
+    segments = [(0.84, 1.56, "a", "berulang"), (2.64, 3.42, "b", "berulang")]
+    df = spark.createDataFrame([(segments,)], "s array<struct<start double, end double, text string, hallucination string>>")
+    assert df.select(report.dropped_note(F.col("s"))).first()[0] == "2 segmen halusinasi Whisper dibuang (2 detik, berulang)"
+
+
 SEARCH = [("a", "MBG makan siang", "video", "2026-09-29 10:00:00"), ("b", "mbgku", "video", "2026-09-29 23:59:59"), ("c", None, "video", "2026-09-30 00:00:00"), ("d", "makan", "image", None)]
 
 
