@@ -146,9 +146,10 @@ def bitmap(ids: DataFrame, count: int, plain: bool = False):
     h = F.col("rep") if plain else F.xxhash64("rep")
     bits = ids.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h"))
     word = F.pmod("h", F.lit(size)).cast("int").alias("word")
-    made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % size)).alias("bits")).toPandas()
+    made = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(h div %d, 64) as int))" % size)).alias("bits"))
     out = np.zeros(size, np.int64)
-    out[made["word"].to_numpy(np.int64)] = made["bits"].to_numpy(np.int64)
+    for b in made.toArrow().to_batches():  # 12 bytes a word; rows as Python objects would be hundreds
+        out[b.column(0).to_numpy()] = b.column(1).to_numpy()
     return ids.sparkSession.sparkContext.broadcast(out.view(np.uint64))
 
 

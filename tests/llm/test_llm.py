@@ -659,3 +659,16 @@ def test_pipeline(spark, sf):
     pack = {i: [[*hf.encode(t or "", add_special_tokens=False).ids, 0]] for i, t in text(frames[4]).items()}
     check_packing(frames[5].collect(), pack)
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, frames[5].select("doc_id", "piece", "ids_crc32").collect()))
+
+
+def test_filter_comes_to_the_driver_as_arrow(spark):
+    """The filter's words, not a Python object for each: 2 ** 15 words are 256 KB, and all hashes pass."""
+    import tracemalloc
+
+    ids = spark.range(200_000).select(F.xxhash64("id").alias("rep"))
+    tracemalloc.start()
+    made = minhash_dedup.bitmap(ids, 200_000, plain=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(made.value) == 1 << 15 and peak < 40 * len(made.value)
+    assert minhash_dedup.passes(made.value, ids.toArrow().column(0).to_numpy()).all()
