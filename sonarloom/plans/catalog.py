@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sonarloom import workspace
 from sonarloom.functions import text as T
-from sonarloom.operators import audio_dedup, latest, report, transcript, turns, voices, windows
+from sonarloom.operators import audio_dedup, latest, report, similar, transcript, turns, voices, windows
 from sonarloom.operators.components import components
 from sonarloom.sources import search
 from sonarloom.streaming import incremental
@@ -471,7 +471,7 @@ def similar_pairs(spark, sf_dir):
 @query(f"""WITH RECURSIVE p AS ({_PAIRS}), e AS (SELECT a, b FROM p UNION SELECT b, a FROM p), reach(n, m) AS (SELECT a, a FROM e UNION SELECT r.n, e.b FROM reach r JOIN e ON e.a = r.m)
 SELECT n AS node, min(m) AS root FROM reach GROUP BY n""")
 def similar_components(spark, sf_dir):
-    return components(_pairs(spark, sf_dir, PAIR_SIM)).select("node", "root")
+    return similar.similar_components(_t(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", PAIR_SIM).select("node", "root")
 
 
 @query()

@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sonarloom import models, schemas
+from sonarloom import models, schemas, workspace
 from sonarloom.functions import text as T
-from sonarloom.operators import audio_dedup, latest, report, transcript, turns, voices, windows
+from sonarloom.operators import audio_dedup, latest, report, similar, transcript, turns, voices, windows
 from sonarloom.operators.components import components
 from sonarloom.sinks import files as sinks
 from sonarloom.sources import files, search
@@ -168,6 +168,49 @@ def test_groups_and_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("least, tile", [(0.3, 16), (0.6, 16), (0.9, 16), (0.3, 2048)])
+def test_similar_components_equal_all_pairs(spark, least, tile):
+    rng = np.random.default_rng(1)
+    rows = [(k % 3, k, [float(x) for x in v / np.linalg.norm(v)]) for k, v in enumerate(rng.normal(size=(240, 6)))]
+    rows += [(0, 500 + k, [least, 1.0, 0.0, 0.0, 0.0, float(k)]) for k in range(3)] + [(0, 510, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (1, 510, [9.0] * 6), (1, 7, rows[7][2])]
+    rows += [(2, 600, [float("nan")] * 6), (2, 601, [float("inf")] * 6), (3, 602, [1.0]), (3, 603, [1.0]), (3, 604, []), (3, 605, [1.0, 1.0]), (None, 606, [1.0] * 6), (0, None, [9.0] * 6), (0, 607, None), (0, 608, [9.0] * 5 + [None]), (4, 609, [1.0])]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for i, (p, a, x) in enumerate(rows):
+        for q, b, y in rows[:i]:
+            if p is None or p != q or a is None or b is None or a == b or x is None or y is None or None in x + y or len(x) != len(y):
+                continue
+            if not sum(u * v for u, v in zip(x, y)) < least:
+                up[max(root(a), root(b))] = min(root(a), root(b))
+    df = spark.createDataFrame(rows, "label int, vec_id long, embedding array<double>")
+    got = {r["node"]: r["root"] for r in similar.similar_components(df, "label", "vec_id", "embedding", least, tile).collect()}
+    assert got == {x: root(x) for x in list(up)}
+    assert similar.similar_components(df.limit(0), "label", "vec_id", "embedding", least, tile).count() == 0
+
+
+def test_similar_components_make_no_row_a_pair(spark, tmp_path, monkeypatch):
+    """1,200 vectors of one label have 719,400 pairs; what is written out stays near the number of vectors."""
+    from sonarloom.plans import catalog
+
+    vectors = [(k, [1.0, k / 1e4], 1) for k in range(1200)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    made, plain = [], workspace.materialize
+
+    def counted(df, name, path=None):
+        out = plain(df, name, path)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(workspace, "materialize", counted)
+    assert {(r["node"], r["root"]) for r in catalog.similar_components(spark, str(tmp_path)).collect()} == {(k, 0) for k in range(1200)}
+    assert max(made) <= 3 * 1200
+
+
 def test_notes_order(spark):
     row = {"_id": "x", "transcript": "satu dua", "transcript_lang": "en", "lang": None, "transcript_status": "done", "prompt_fallback": True, "speech_seconds": 4.0, "duplicate_of": "q", "manual_note": "m",
            "voices": [(0, 1, 0.1, "lain", 2.0)], "segments": [(0.0, 2.5, "t", None, None, None, "berulang"), (0.0, 1.0, "t", None, None, None, "kosong")]}
